@@ -2,7 +2,7 @@
 
 The regression reads hashed character n-grams of host and path.  It is trained by
 gradient descent on a small labelled table of URLs, LABELLED unless another is
-given.  Weights are one array literal of 2^BITS numbers.  Everything is DataFrame
+given: hosts, each with the same paths.  Weights are one array literal of 2^BITS numbers.  Everything is DataFrame
 functions.
 
 A null url, or one without ``://``, has an empty host and path; no rule fits it,
@@ -22,19 +22,24 @@ RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
 BITS, GRAMS = 12, (3, 4)
 #: Steps, rate and weight decay of the training.
 STEPS, RATE, DECAY = 40, 48.0, 1e-4
-#: The labelled URLs: 1 is block.  Hosts of junk trade, and hosts of ordinary pages.
-LABELLED = (
-    ("cheap-pills.example", "/buy", 1), ("buy-cheap-meds.example", "/order.html", 1), ("www.online-casino-bonus.example", "/", 1), ("best-casino.example", "/win/1", 1),
-    ("free-viagra-pills.example", "/cheap", 1), ("payday-loans-fast.example", "/apply", 1), ("xxx-adult-cams.example", "/live", 1), ("hot-porn-videos.example", "/watch/12", 1),
-    ("spam-farm.example", "/a/b", 1), ("link-farm-seo.example", "/links/3", 1), ("click-farm-ads.example", "/click", 1), ("win-free-prizes.example", "/claim", 1),
-    ("replica-watches-cheap.example", "/shop", 1), ("crypto-doubler-win.example", "/deposit", 1), ("torrent-crack-keygen.example", "/download", 1), ("poker-slots-jackpot.example", "/play", 1),
-    ("weight-loss-miracle-pills.example", "/buy", 1), ("sexy-dating-free.example", "/join", 1), ("malware-download.example", "/setup.exe", 1), ("ad-tracker.example", "/pixel", 1),
-    ("www.university.example", "/en/courses/101", 0), ("news.city-paper.example", "/2020/05/story.html", 0), ("blog.garden-notes.example", "/en/853/", 0), ("docs.library.example", "/en/manual.html", 0),
-    ("www.museum.example", "/de/176", 0), ("m.weather.example", "/fr/825?page=2", 0), ("history-society.example", "/es/533/", 0), ("recipes.kitchen.example", "/en/660", 0),
-    ("www.hospital.example", "/fr/99.html", 0), ("science-journal.example", "/de/612", 0), ("city-council.example", "/en/47", 0), ("blog.travel-letters.example", "/es/978", 0),
-    ("maps.region.example", "/en/25", 0), ("forum.woodwork.example", "/de/334/", 0), ("archive.radio.example", "/fr/65.html", 0), ("theatre.example", "/en/453", 0),
-    ("www.school.example", "/en/217", 0), ("music-lessons.example", "/de/925", 0), ("birds.nature.example", "/es/797", 0), ("m.chess-club.example", "/en/960", 0),
+#: The labelled table: hosts of junk trade (block) and of ordinary pages (allow),
+#: each with every path, so that the paths say nothing.
+BLOCKED_HOSTS = (
+    "discount-pills.example", "buy-cheap-meds.example", "www.online-casino-bonus.example", "best-casino.example", "free-viagra-pills.example", "payday-loans-fast.example",
+    "xxx-adult-cams.example", "hot-porn-videos.example", "spam-blast.example", "www.link-farm-seo.example", "click-farm-ads.example", "win-free-prizes.example",
+    "replica-watches-cheap.example", "crypto-doubler-win.example", "torrent-crack-keygen.example", "poker-slots-jackpot.example", "weight-loss-miracle-pills.example",
+    "sexy-dating-free.example", "malware-download.example", "banner-ads-tracker.example", "sports-betting-bets.example", "m.win-big-now.example",
 )
+ALLOWED_HOSTS = (
+    "www.university.example", "news.city-paper.example", "blog.garden-notes.example", "docs.library.example", "www.museum.example", "m.weather.example",
+    "history-society.example", "recipes.kitchen.example", "www.hospital.example", "science-journal.example", "city-council.example", "blog.travel-letters.example",
+    "maps.region.example", "forum.woodwork.example", "archive.radio.example", "theatre.example", "www.school.example", "music-lessons.example", "birds.nature.example",
+    "m.chess-club.example", "northern.example", "blog.high-tension.example", "station.example", "weathering.example",
+)
+PATHS = ("/en/853/", "/de/176.html", "/fr/62", "/es/797", "/index.html", "/buy")
+LABELLED = tuple((h, p, y) for hosts, y in ((BLOCKED_HOSTS, 1), (ALLOWED_HOSTS, 0)) for h in hosts for p in PATHS)
+#: A URL that no rule decides is blocked above this probability.
+THRESHOLD = 0.6
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -103,4 +108,4 @@ def judge_urls(pages: DataFrame, url_col: str = "url", id_col: str = "page_id",
     w = train(labelled)
     p = probability("f", w)
     judged = ruled.withColumn("f", features("host", "path")).withColumn("p_block", p)
-    return judged.select(id_col, "host", "path", "rule", F.coalesce("ruled", F.when(F.col("p_block") > 0.5, "block").otherwise("allow")).alias("verdict"), "p_block")
+    return judged.select(id_col, "host", "path", "rule", F.coalesce("ruled", F.when(F.col("p_block") > THRESHOLD, "block").otherwise("allow")).alias("verdict"), "p_block")
