@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches
+from .common import small_batches, utf8
 
 # The White_Space code points of Unicode.
 WHITE_SPACE = [9, 10, 11, 12, 13, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
@@ -253,7 +253,7 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text") -> DataFram
     def task(batches):
         codec = _codec(shared)
         for batch in batches:
-            texts = [(x or "").encode() for x in batch.column(text_col).to_pylist()]
+            texts = utf8(batch.column(text_col))
             ids, ends = [], []
             for x in codec.encode(texts):
                 ids.append(np.frombuffer(x, "<i4"))
@@ -291,7 +291,7 @@ def digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col:
         codec = _codec(shared)
         sha = lambda x: hashlib.sha256(x).hexdigest()
         for batch in batches:
-            texts = [(x or "").encode() for x in batch.column("text").to_pylist()]
+            texts = utf8(batch.column("text"))
             rows = [(len(x) // 4, sha(x), sha(codec.decode(x))) for x in codec.encode(texts)]
             n, ids, decoded = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

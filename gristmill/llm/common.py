@@ -71,6 +71,13 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
 
 
+def utf8(column) -> list[bytes]:
+    """The UTF-8 bytes of an Arrow string column, null as empty, without decoding."""
+    import pyarrow as pa
+
+    return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+
+
 def text_of(name: str) -> Column:
     """The text column with null as empty."""
     return F.coalesce(F.col(name), F.lit(""))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, small_batches, text_of
+from .common import materialize, small_batches, text_of, utf8
 
 LEAST_CHARS, LEAST_DOCS = 20, 3
 #: Bits of a filter: this many for each byte of the largest count of lines
@@ -87,8 +87,8 @@ def _build(log2):
         for batch in batches:
             seen: set[bytes] = set()
             again: set[bytes] = set()
-            for text in batch.column("text").to_pylist():
-                keys = keys_of(text.encode())
+            for text in utf8(batch.column("text")):
+                keys = keys_of(text)
                 again |= keys & seen
                 seen |= keys
             if seen:
@@ -148,8 +148,8 @@ def repeated_lines(slim: DataFrame) -> DataFrame:
         pair.log2, pair.twice = log2, np.frombuffer(shared.value, np.uint8)
         for batch in batches:
             ids, keys = [], []
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                own = list(keys_of(text.encode()))
+            for i, text in enumerate(utf8(batch.column("text"))):
+                own = list(keys_of(text))
                 keys += own
                 ids += [i] * len(own)
             if keys:
@@ -203,7 +203,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             get = table.value.get
             for batch in batches:
                 ids = batch.column("id")
-                rows = [_rewrite(t.encode(), i, get) for t, i in zip(batch.column("text").to_pylist(), ids.to_pylist(), strict=True)]
+                rows = [_rewrite(t, i, get) for t, i in zip(utf8(batch.column("text")), ids.to_pylist(), strict=True)]
                 yield _emit(ids, rows, fields[0], with_text)
 
         return slim.mapInArrow(task, schema).withColumnRenamed("id", id_col)
@@ -218,8 +218,8 @@ def _joined(slim: DataFrame, lines: DataFrame, schema, fields, with_text) -> Dat
     def occurrences(batches):
         for batch in batches:
             ids, keys = [], []
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                own = list(keys_of(text.encode()))
+            for i, text in enumerate(utf8(batch.column("text"))):
+                own = list(keys_of(text))
                 keys += own
                 ids += [i] * len(own)
             yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(ids, pa.int64())), batch.column("h").take(pa.array(ids, pa.int64())), pa.array(keys, pa.binary())], ["id", "h", "key"])
@@ -238,9 +238,9 @@ def _joined(slim: DataFrame, lines: DataFrame, schema, fields, with_text) -> Dat
         for batch in batches:
             ids = batch.column("id")
             made = []
-            for text, keys in zip(batch.column("text").to_pylist(), batch.column("keys").to_pylist(), strict=True):
+            for text, keys in zip(utf8(batch.column("text")), batch.column("keys").to_pylist(), strict=True):
                 mine = dict.fromkeys(keys or (), (object(),))
-                made.append(_rewrite(text.encode(), None, mine.get))
+                made.append(_rewrite(text, None, mine.get))
             yield _emit(ids, made, fields[0], with_text)
 
     return rows.mapInArrow(task, schema)

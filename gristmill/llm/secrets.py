@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, text_of
+from .common import small_batches, text_of, utf8
 
 # The base kinds, in the order in which they are listed.
 BASE = ("assign", "access", "hex")
@@ -127,7 +127,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def task(batches):
         for batch in batches:
-            found = [scan(x.encode()) for x in batch.column("text").to_pylist()]
+            found = [scan(x) for x in utf8(batch.column("text"))]
             named = [[[{"kind": KINDS[k], "start": a, "end": b} for a, b, k in part] for part in pair] for pair in found]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([x[0] for x in named], span), pa.array([x[1] for x in named], span)], ["id", "base", "spans"])
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_ROWS, discard, hot_join, keep_rows, materialize, small_batches, text_of
+from .common import BROADCAST_ROWS, discard, hot_join, keep_rows, materialize, small_batches, text_of, utf8
 
 SHINGLE, SEED, BUDGET = 4, 42, 4
 #: Budgets within the first 32 bits of each trie, by rotation.
@@ -69,7 +69,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def task(batches):
         for batch in batches:
-            fps = np.array([simhash(x.encode()) for x in batch.column("text").to_pylist()], np.uint64).view(np.int64)
+            fps = np.array([simhash(x) for x in utf8(batch.column("text"))], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("h"), pa.array(fps, pa.int64())], ["id", "h", "fp"])
 
     return slim.mapInArrow(task, T.StructType([T.StructField("id", slim.schema["id"].dataType), T.StructField("h", T.LongType()), T.StructField("fp", T.LongType())]))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hot_join, materialize, small_batches, text_of
+from .common import hot_join, materialize, small_batches, text_of, utf8
 
 SENTENCES, WORDS = 3, 20
 LONG, CUT = 16, 8
@@ -88,8 +88,8 @@ def spans(text: bytes) -> tuple[list[tuple[int, int, int]], np.ndarray, np.ndarr
 def _sent(batches):
     for batch in batches:
         at, every = [], []
-        for i, text in enumerate(batch.column("text").to_pylist()):
-            _, h, _ = spans(text.encode())
+        for i, text in enumerate(utf8(batch.column("text"))):
+            _, h, _ = spans(text)
             if len(h):
                 h = np.unique(h, axis=0) if len(h) > 1 else h
                 at.append(np.full(len(h), i))
@@ -174,7 +174,7 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 return test
 
             for batch in batches:
-                made = [removed(t.encode(), elsewhere(i)) for t, i in zip(batch.column("text").to_pylist(), batch.column("id").to_pylist(), strict=True)]
+                made = [removed(t, elsewhere(i)) for t, i in zip(utf8(batch.column("text")), batch.column("id").to_pylist(), strict=True)]
                 yield _rows(batch.column("id"), made)
 
         return slim.mapInArrow(task, schema).withColumnRenamed("id", id_col)
@@ -188,9 +188,9 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def rewrite(batches):
         for batch in batches:
             made = []
-            for text, keys in zip(batch.column("text").to_pylist(), batch.column("keys").to_pylist(), strict=True):
+            for text, keys in zip(utf8(batch.column("text")), batch.column("keys").to_pylist(), strict=True):
                 mine = {tuple(map(int, k.split(":"))) for k in keys or ()}
-                made.append(removed(text.encode(), lambda h, mine=mine: [tuple(x) in mine for x in h.view(np.int64).tolist()] if mine else np.zeros(len(h), bool)))
+                made.append(removed(text, lambda h, mine=mine: [tuple(x) in mine for x in h.view(np.int64).tolist()] if mine else np.zeros(len(h), bool)))
             yield _rows(batch.column("id"), made)
 
     return joined.mapInArrow(rewrite, schema).withColumnRenamed("id", id_col)
