@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from . import plans
+from .plans import record_plans, text_plans  # noqa: F401  (they register themselves)
+
 
 def queries():
-    return {}
+    return dict(plans.QUERIES)
 
 
 def oracle_sql():
-    return {}
+    return dict(plans.ORACLES)
