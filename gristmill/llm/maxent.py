@@ -22,6 +22,7 @@ With no training texts every probability is uniform.
 from __future__ import annotations
 
 import zlib
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import discard, materialize, small_batches, text_of
+from .common import materialize, small_batches, text_of, utf8
 
 FOLDS, HELD_OUT = 5, 1
 #: Tokens with an id, of those the contexts that classes are made from, and classes.
-HEAD, CONTEXTS, CLASSES = 1 << 18, 48, 32
+HEAD, CONTEXTS, CLASSES = 1 << 17, 32, 32
+#: Tokens that are clustered into classes; those after them join the class of the rest.
+CLASSED = 1 << 16
 #: Classes that the most frequent tokens have for themselves (the end has one too, and the rest has one).
 OWN = 6
 #: Buckets of the three features, rate of the gradient steps, tokens of one step.
@@ -68,8 +71,8 @@ def _count(batches):
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(a, pa.int64()), pa.array([x + y for x, y in zip(a, b, strict=True)], pa.int64())], ["token", "c", "every"])
 
     for batch in batches:
-        for out, text in zip(held_out(batch.column("id").to_pylist()), batch.column("text").to_pylist(), strict=True):
-            (rest if out else train).update(tokens_of(text.encode()))
+        for out, text in zip(held_out(batch.column("id").to_pylist()), utf8(batch.column("text")), strict=True):
+            (rest if out else train).update(tokens_of(text))
             if len(train) + len(rest) >= FLUSH:
                 yield flush()
     if train or rest:
@@ -79,10 +82,26 @@ def _count(batches):
 class Head:
     """The tokens with ids, by count and then bytes; id len(tokens) is all others."""
 
-    def __init__(self, rows):
-        self.tokens = [bytes(r[0]) for r in rows]
-        self.c = np.array([r[1] for r in rows], np.float64)
-        self.index = {t: i for i, t in enumerate(self.tokens)}
+    def __init__(self, tokens: list[bytes], c: np.ndarray):
+        self.tokens, self.c = tokens, c.astype(np.float64)
+
+
+def head_of(counts: DataFrame, most: int) -> Head:
+    """The most frequent tokens, `most` at most: all whose count in all texts
+    reaches a threshold, which a histogram of counts (of a few hundred rows) sets."""
+    octave = F.floor(F.log2("every") * 64)
+    bars = sorted(((r["b"], r["n"], r["least"]) for r in counts.groupBy(octave.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("every").alias("least")).collect()), reverse=True)
+    n, least = 0, None
+    for _, k, low in bars:
+        if n + k > most:
+            break
+        n, least = n + k, low
+    if least is None:
+        return Head([], np.zeros(0))
+    got = counts.where(F.col("every") >= least).toArrow()
+    tokens, c, every = got["token"].to_pylist(), got["c"].to_numpy(), got["every"].to_numpy()
+    order = sorted(range(len(tokens)), key=lambda i: (-every[i], tokens[i]))
+    return Head([tokens[i] for i in order], c[order])
 
 
 def _to_ids(shared):
@@ -90,13 +109,14 @@ def _to_ids(shared):
         tokens = shared.value
         index = dict(zip(tokens, range(len(tokens)), strict=True))
         other = len(tokens)
+        get = index.get
         for batch in batches:
             ids, tails, sizes = [], [], []
-            for text in batch.column("text").to_pylist():
-                words = tokens_of(text.encode())
-                own = [index.get(w, other) for w in words]
-                ids.append(np.array(own, "<i4").tobytes())
-                tails.append([w for w, i in zip(words, own, strict=True) if i == other])
+            for text in utf8(batch.column("text")):
+                words = tokens_of(text)
+                own = np.fromiter(map(get, words, repeat(other)), "<i4", len(words))
+                ids.append(own.tobytes())
+                tails.append([words[i] for i in np.flatnonzero(own == other).tolist()])
                 sizes.append(len(words))
             doc = batch.column("id")
             yield pa.RecordBatch.from_arrays([doc, pa.array(held_out(doc.to_pylist())), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(tails, pa.list_(pa.binary()))], ["id", "held_out", "n_tokens", "ids", "tail"])
@@ -104,17 +124,19 @@ def _to_ids(shared):
     return task
 
 
-def _before(n_head):
-    """Counts of the two preceding tokens that are contexts, by token: rows (token id, packed counts)."""
+def _before(n_head, ends):
+    """Counts of the two preceding tokens that are contexts, by token: rows (token
+    id, packed counts).  The end of a text is no context, so texts may be joined."""
 
     def task(batches):
         table = np.zeros((n_head, CONTEXTS), np.int32)
         for batch in batches:
-            for raw in batch.column("ids").to_pylist():
-                ids = np.frombuffer(raw, "<i4")
+            for ids, _, _ in _batches_of(batch.column("ids").to_pylist(), 1 << 16):
                 for gap in (1, 2):
                     a, b = ids[:-gap], ids[gap:]
                     ok = (a < CONTEXTS) & (b < n_head)
+                    for e in ends:  # the end of the text before
+                        ok &= (a != e) & (ids[1:-1] != e if gap == 2 else True)
                     if ok.any():
                         np.add.at(table.ravel(), b[ok].astype(np.int64) * CONTEXTS + a[ok], 1)
         rows = np.flatnonzero(table.any(1))
@@ -169,11 +191,11 @@ def _gather(rows: DataFrame, dtype, n: int, width: int) -> np.ndarray:
 
 
 def classes_of(head: Head, before: np.ndarray, rounds: int = 12) -> np.ndarray:
-    """The class of each head token; all others are in class CLASSES - 1, the end
-    in CLASSES - 2."""
-    n, free = len(head.tokens), CLASSES - 2 - OWN
-    out = np.full(n + 1, CLASSES - 1, np.int64)
-    counts = before.astype(np.float64)
+    """The class of each token with an id, and last of the others: CLASSES - 2 for
+    the end, CLASSES - 1 for those without a row in before."""
+    n, free = len(before), CLASSES - 2 - OWN
+    out = np.full(len(head.tokens) + 1, CLASSES - 1, np.int64)
+    counts = before.astype(np.float32)
     share = counts.sum(0) + 1.0
     share /= share.sum()
     # mixture of multinomials, started from the rows of evenly spaced frequent tokens
@@ -191,8 +213,8 @@ def classes_of(head: Head, before: np.ndarray, rounds: int = 12) -> np.ndarray:
     out[:n] = OWN + label
     own = [i for i in range(n) if head.tokens[i] != END][:OWN]
     out[own] = range(len(own))
-    if END in head.index:
-        out[head.index[END]] = CLASSES - 2
+    if END in head.tokens:
+        out[head.tokens.index(END)] = CLASSES - 2
     return out
 
 
@@ -214,24 +236,30 @@ def features(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return rows
 
 
-def log_softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Log probabilities of the classes at each position."""
+def logits(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Logits of the classes at each position, the largest 0."""
     z = weights[rows[0]]
     for r in rows[1:]:
         z += weights[r]
     z += weights[-1]
     z -= z.max(1, keepdims=True)
-    z -= np.log(np.exp(z).sum(1, keepdims=True))
     return z
 
 
-def _batches_of(raws):
-    """Ids of joined texts, about STEP tokens or one text at a time, and starts."""
+def log_probability(weights: np.ndarray, rows: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Natural log probability of class y at each position."""
+    z = logits(weights, rows)
+    own = z[np.arange(len(y)), y]
+    return own - np.log(np.exp(z, out=z).sum(1))
+
+
+def _batches_of(raws, most=STEP):
+    """Ids of joined texts, about `most` tokens or one text at a time, starts and sizes."""
     held, n = [], 0
     for raw in raws:
         held.append(np.frombuffer(raw, "<i4").astype(np.int64))
         n += len(held[-1])
-        if n >= STEP:
+        if n >= most:
             yield _joined(held)
             held, n = [], 0
     if held:
@@ -256,19 +284,21 @@ def _gradient(shared):
                 every, y_all = features(ids, starts), label[ids]
                 for at in range(0, len(ids), STEP):
                     rows, y = every[:, at : at + STEP], y_all[at : at + STEP]
-                    g = np.exp(log_softmax(w, rows))
+                    g = logits(w, rows)
+                    np.exp(g, out=g)
+                    g /= g.sum(1, keepdims=True)
                     g[np.arange(len(y)), y] -= 1
                     norm = np.einsum("ij,ij->i", g, g)
-                    for r in rows:
-                        order = np.argsort(r)
-                        sorted_ = r[order]
-                        cut = np.flatnonzero(np.diff(sorted_, prepend=-1))
-                        hit = sorted_[cut]
-                        n = np.diff(np.append(cut, len(r))).astype(np.float32)
-                        total = np.add.reduceat(g[order], cut, 0)
-                        square[hit] += np.add.reduceat(norm[order], cut)
-                        w[hit] -= (RATE / np.sqrt(square[hit]))[:, None] * total
-                        touched[hit] += n
+                    flat = rows.astype(np.uint16).ravel()  # all features at once: their rows are apart, and 16 bits sort by radix
+                    order = np.argsort(flat, kind="stable")
+                    sorted_ = flat[order]
+                    cut = np.flatnonzero(np.diff(sorted_, prepend=-1))
+                    hit = sorted_[cut]
+                    at_token = order % len(y)
+                    total = np.add.reduceat(g[at_token], cut, 0)
+                    square[hit] += np.add.reduceat(norm[at_token], cut)
+                    w[hit] -= (RATE / np.sqrt(square[hit]))[:, None] * total
+                    touched[hit] += np.diff(np.append(cut, len(flat)))
                     total = g.sum(0)
                     square[-1] += norm.sum()
                     w[-1] -= RATE / np.sqrt(square[-1]) * total
@@ -312,7 +342,7 @@ def _score(shared):
                 rows = features(ids, starts)
                 for at in range(0, len(ids), 4 * STEP):
                     y = label[ids[at : at + 4 * STEP]]
-                    model[at : at + len(y)] += log_softmax(w, rows[:, at : at + 4 * STEP])[np.arange(len(y)), y] / np.log(10)
+                    model[at : at + len(y)] += log_probability(w, rows[:, at : at + 4 * STEP], y) / np.log(10)
                 s += np.add.reduceat(model, starts).tolist()
                 b += np.add.reduceat(base[ids], starts).tolist()
                 k += np.add.reduceat(known[ids], starts).tolist()
@@ -332,15 +362,14 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", head_
     counts = materialize(counts, "tokens")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
     n_train, v = int(total[0]), int(total[1])
-    top = counts.orderBy(F.col("every").desc(), "token").limit(head_rows)
-    head = Head([(r["token"], r["c"]) for r in top.collect()])
-    n = len(head.tokens)
+    head = head_of(counts, head_rows)
+    n, m_classed = len(head.tokens), min(len(head.tokens), CLASSED)
     shared = spark.sparkContext.broadcast(head.tokens)
     fields = [slim.schema["id"], T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("tail", T.ArrayType(T.BinaryType()))]
     made = materialize(slim.mapInArrow(_to_ids(shared), T.StructType(fields)).withColumn("uid", F.monotonically_increasing_id()), "ids")
     learn = made.where("not held_out").select("ids")
     few = learn.coalesce(4 * spark.sparkContext.defaultParallelism)
-    before = _gather(few.mapInArrow(_before(n), "row long, data binary"), np.int32, max(1, n), CONTEXTS)[:n]
+    before = _gather(few.mapInArrow(_before(m_classed, frozenset(i for i, t in enumerate(head.tokens[:CONTEXTS]) if t == END)), "row long, data binary"), np.int32, max(1, m_classed), CONTEXTS)[:m_classed]
     label = classes_of(head, before)
     w = train(learn, label, rounds)
     weight, whole = head.c + 0.5, n_train + 0.5 * (v + 1)
