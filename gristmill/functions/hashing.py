@@ -38,8 +38,11 @@ def grams(x, size: int, most: int | None = None, distinct: bool = True) -> Colum
     """Character n-grams, at most `most` of them at an even stride; a shorter text is its own gram, an empty one has none."""
     text = col(x)
     n = F.length(text) - (size - 1)
-    step = stride(n, most) if most else F.lit(1)
-    every = F.when(n > 1, F.transform(F.sequence(F.lit(1), n, step), lambda i: F.substr(text, i, F.lit(size)))).when(F.length(text) > 0, F.array(text)).otherwise(F.array().cast("array<string>"))
+    if most:
+        long = F.transform(F.sequence(F.lit(1), n, stride(n, most)), lambda i: F.substr(text, i, F.lit(size)))
+    else:  # one pass over the text; substrings by position would each count code points from its start
+        long = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))."), F.lit(1))
+    every = F.when(n > 1, long).when(F.length(text) > 0, F.array(text)).otherwise(F.array().cast("array<string>"))
     return F.array_distinct(every) if distinct else every
 
 

@@ -16,7 +16,7 @@ from .dedup import simhash
 # Benchmark names, by generation of the scan, and the thresholds of the near check.
 SIGNALS_1 = ("answercarefully", "mt-bench", "mt bench", "llm-jp instruction", "private holdout", "gsm8k", "humaneval", "mmlu")
 SIGNALS_2 = ("mt-bench", "mt bench", "answercarefully", "answer carefully", "llm-jp-instructions", "japanese mt-bench")
-GRAM, LEAST_SUBSTRING, WINDOW, WINDOW_STEP = 13, 40, 80, 40
+GRAM, LEAST_SUBSTRING, WINDOW, WINDOW_STEP, PROBE = 13, 40, 80, 40, 24
 NEAR = {"shorter": 40, "minhash": 0.35, "minhash_ratio": 0.50, "simhash": 0.90, "simhash_ratio": 0.80, "quarantine": 0.80, "matches": 16}
 ELIGIBLE = ("clean", "not_checked_missing_eval_source", "not_scanned")
 BROADCAST_EVAL = 20_000
@@ -39,18 +39,23 @@ def substring_pairs(cand: DataFrame, evals: DataFrame) -> DataFrame:
     equi-join and only they are compared."""
     n = LEAST_SUBSTRING
     e = evals.where(F.length("norm") >= n)
-    head = e.select(F.col("id").alias("eval_id"), F.col("norm").alias("eval_norm"), F.substring("norm", 1, n).alias("k"))
-    inner = cand.select("id", "norm", F.explode(grams("norm", n)).alias("k")).join(small(head), "k").where(F.col("norm").contains(F.col("eval_norm"))).select("id", "eval_id")
+    head = e.select(F.col("id").alias("eval_id"), F.substring("norm", 1, n).alias("k"))
+    # Only ids travel with the grams; texts are attached to the few pairs that meet.
+    meet = cand.select("id", F.explode(grams("norm", n)).alias("k")).join(small(head), "k").select("id", "eval_id")
     # a candidate inside an eval text: of full length by its own first characters, shorter ones by all of theirs
-    long = cand.where(F.length("norm") >= n).select("id", "norm", F.substring("norm", 1, n).alias("k"))
-    parts = e.select(F.col("id").alias("eval_id"), F.col("norm").alias("eval_norm"), F.explode(grams("norm", n)).alias("k"))
-    outer = long.join(small(parts), "k").where(F.col("eval_norm").contains(F.col("norm"))).select("id", "eval_id")
-    sizes = e.select(F.col("id").alias("eval_id"), F.col("norm").alias("eval_norm"), F.explode(F.sequence(F.lit(1), F.lit(n - 1))).alias("len"))
-    pieces = sizes.select("eval_id", F.explode(F.transform(F.sequence(F.lit(1), F.length("eval_norm") - F.col("len") + 1), lambda i: F.substr("eval_norm", i, F.col("len")))).alias("k")).distinct()
-    tiny = cand.where((F.length("norm") < n) & (F.length("norm") > 0)).select("id", F.col("norm").alias("k"))
-    short = tiny.join(pieces, "k").select("id", "eval_id")
-    empty = cand.where(F.length("norm") == 0).select("id").join(small(e.select(F.min("id").alias("eval_id")).where("eval_id is not null")), F.lit(True)).select("id", "eval_id")
-    return inner.unionByName(outer).unionByName(short).unionByName(empty).distinct()
+    long = cand.where(F.length("norm") >= n).select("id", F.substring("norm", 1, n).alias("k"))
+    parts = e.select(F.col("id").alias("eval_id"), F.explode(grams("norm", n)).alias("k"))
+    meet = meet.unionByName(long.join(small(parts), "k").select("id", "eval_id")).distinct()
+    texts = e.select(F.col("id").alias("eval_id"), F.col("norm").alias("eval_norm"))
+    pairs = meet.join(small(texts), "eval_id").join(cand.select("id", "norm"), "id")
+    checked = pairs.where(F.col("norm").contains(F.col("eval_norm")) | F.col("eval_norm").contains(F.col("norm"))).select("id", "eval_id")
+    tiny = cand.where((F.length("norm") < n) & (F.length("norm") > 0)).select("id", F.col("norm").alias("k"), F.length("norm").alias("len"))
+    pieces = e.select(F.col("id").alias("eval_id"), "norm", F.explode(F.sequence(F.lit(1), F.lit(n - 1))).alias("len"))
+    pieces = pieces.select("eval_id", "len", F.explode(F.transform(F.sequence(F.lit(1), F.length("norm") - F.col("len") + 1), lambda i: F.substr("norm", i, F.col("len")))).alias("k")).distinct()
+    short = tiny.join(pieces, ["len", "k"]).select("id", "eval_id")
+    # an empty text is inside every eval text: its pairs are as many as the result has
+    empty = cand.where(F.length("norm") == 0).select("id", F.lit(0).alias("k")).join(small(e.select(F.col("id").alias("eval_id"), F.lit(0).alias("k"))), "k").select("id", "eval_id")
+    return checked.unionByName(short).unionByName(empty).distinct()
 
 
 def gram_overlap(cand: DataFrame, evals: DataFrame, size: int = GRAM) -> DataFrame:
@@ -88,8 +93,13 @@ def window_matches(cand: DataFrame, evals: DataFrame, exhaustive: bool = True) -
     a passage that moved by a character; the exhaustive probe reads every offset of
     the candidate against the aligned windows of the eval text."""
     e = evals.select(F.col("id").alias("eval_id"), F.explode(windows("norm", WINDOW, WINDOW_STEP)).alias("w"))
-    c = cand.select("id", F.explode(F.array_distinct(windows("norm", WINDOW, 1 if exhaustive else WINDOW_STEP))).alias("w"))
-    return c.join(small(e), "w").select("id", "eval_id").distinct()
+    if not exhaustive:
+        c = cand.select("id", F.explode(F.array_distinct(windows("norm", WINDOW, WINDOW_STEP))).alias("w"))
+        return c.join(small(e), "w").select("id", "eval_id").distinct()
+    # A text that holds a window holds its first PROBE characters: pairs meet on those, and only they are compared.
+    e = e.withColumn("k", F.substring("w", 1, PROBE))
+    meet = cand.select("id", F.explode(grams("norm", PROBE)).alias("k")).join(small(e), "k").select("id", "eval_id", "w").distinct()
+    return meet.join(cand.select("id", "norm"), "id").where(F.col("norm").contains(F.col("w"))).select("id", "eval_id").distinct()
 
 
 def near_pairs(cand: DataFrame, evals: DataFrame) -> DataFrame:
