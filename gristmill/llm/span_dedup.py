@@ -25,12 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hot_join, materialize, small_batches, text_of, utf8
+from .common import BROADCAST_ROWS, hot_join, materialize, small_batches, text_of, utf8
 
 SENTENCES, WORDS = 3, 20
 LONG, CUT = 16, 8
-#: The table of repeated spans is broadcast up to so many rows (24 bytes each), and joined beyond.
-BROADCAST_SPANS = 400_000
 SENTENCE = re.compile(rb"[^.!?\n]*(?:[.!?]+(?=\s|$)|\n|$|[.!?]+)")
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -86,17 +84,23 @@ def spans(text: bytes) -> tuple[list[tuple[int, int, int]], np.ndarray, np.ndarr
 
 
 def _sent(batches):
+    """(id, h, h1, h2) of the distinct spans of each text; a text that repeats a
+    span within itself has one more row, without a hash."""
     for batch in batches:
-        at, every = [], []
+        at, every, own = [], [], []
         for i, text in enumerate(utf8(batch.column("text"))):
             _, h, _ = spans(text)
             if len(h):
-                h = np.unique(h, axis=0) if len(h) > 1 else h
+                n = len(h)
+                h = np.unique(h, axis=0) if n > 1 else h
+                if len(h) < n:
+                    own.append(i)
                 at.append(np.full(len(h), i))
                 every.append(h)
         if every:
-            h, rows = np.concatenate(every).view(np.int64), pa.array(np.concatenate(at))
-            yield pa.RecordBatch.from_arrays([batch.column("id").take(rows), batch.column("h").take(rows), pa.array(h[:, 0]), pa.array(h[:, 1])], ["id", "h", "h1", "h2"])
+            h, rows = np.concatenate(every).view(np.int64), pa.array(np.concatenate([*at, np.array(own, np.int64)]))
+            hashes = [pa.concat_arrays([pa.array(h[:, k]), pa.nulls(len(own), pa.int64())]) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(rows), batch.column("h").take(rows), *hashes], ["id", "h", "h1", "h2"])
 
 
 def removed(text: bytes, first_here) -> tuple[bytes, int, int, list[tuple[int, int]]]:
@@ -137,60 +141,42 @@ def _rows(ids, made):
     return pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()), pa.array([x.decode("utf-8", "replace") for x in kept], pa.string())], ["id", *NAMES])
 
 
-def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_spans: int = BROADCAST_SPANS) -> DataFrame:
+def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """One row a document: id_col, n_sentences, n_removed, kept_sha256 and text
-    without the removed sentences."""
-    spark = docs.sparkSession
-    small_batches(spark)
+    without the removed sentences.  Texts that lose nothing are never shuffled as
+    long as the ids of those that do are few enough to broadcast."""
+    small_batches(docs.sparkSession)
     slim = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("h"), text_of(text_col).alias("text"))
     long = T.LongType()
     sent = slim.mapInArrow(_sent, T.StructType([slim.schema["id"], T.StructField("h", long), T.StructField("h1", long), T.StructField("h2", long)]))
     sent = materialize(sent, "spans")
-    # the same document twice is one document
-    met = sent.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.min("h").alias("low"), F.max("h").alias("high"), F.count(F.lit(1)).alias("n"))
-    table = materialize(met.where("n > 1 and not (first <=> last and low = high)").select("h1", "h2", "first", "n"), "repeated")
-    schema = T.StructType([slim.schema["id"], T.StructField("n_sentences", long), T.StructField("n_removed", long), T.StructField("kept_sha256", T.StringType()), T.StructField("text", T.StringType())])
-    whole = slim.schema["id"].dataType in (T.LongType(), T.IntegerType())
-    if whole and table.count() <= broadcast_spans:
-        got = table.select("h1", "h2", F.col("first").cast("long").alias("first")).toArrow()
-        cols = [got[c].to_numpy() for c in ("h1", "h2")]
-        order = np.lexsort((cols[1], cols[0]))
-        first = got["first"].fill_null(-(2**63)).to_numpy()
-        shared = spark.sparkContext.broadcast((cols[0][order], cols[1][order], first[order]))
-
-        def task(batches):
-            h1, h2, owner = shared.value
-
-            def elsewhere(doc_id):
-                def test(h):
-                    h = h.view(np.int64)
-                    out = np.zeros(len(h), bool)
-                    lo, hi = np.searchsorted(h1, h[:, 0]), np.searchsorted(h1, h[:, 0], "right")
-                    for i in np.flatnonzero(hi > lo).tolist():
-                        for k in range(lo[i], hi[i]):
-                            out[i] |= h2[k] == h[i, 1] and owner[k] != (-(2**63) if doc_id is None else doc_id)
-                    return out
-
-                return test
-
-            for batch in batches:
-                made = [removed(t, elsewhere(i)) for t, i in zip(utf8(batch.column("text")), batch.column("id").to_pylist(), strict=True)]
-                yield _rows(batch.column("id"), made)
-
-        return slim.mapInArrow(task, schema).withColumnRenamed("id", id_col)
+    shared = sent.where("h1 is not null")
+    table = materialize(shared.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").withColumnRenamed("h2", "g2"), "repeated")
     total = table.agg(F.sum("n")).first()[0] or 0
-    key = F.concat_ws(":", "h1", "h2").alias("key")
-    hits = materialize(sent.join(table.select("h1", "h2"), ["h1", "h2"], "left_semi").select("id", "h", "h1", "h2", key), "hits")
-    drops = hot_join(hits, table.select(key, "first", "n"), "key", "n", total).where(~F.col("first").eqNullSafe(F.col("id")))
-    drops = drops.groupBy(F.col("id").alias("i2"), F.col("h").alias("hh")).agg(F.collect_set("key").alias("keys"))
-    joined = slim.join(drops, slim["id"].eqNullSafe(drops["i2"]) & (slim["h"] == drops["hh"]), "left").select("id", "text", "keys")
+    # h1 alone is the join key; two spans that share it are told apart by the other half
+    hits = hot_join(shared, table, "h1", "n", total).where((F.col("h2") == F.col("g2")) & ~F.col("first").eqNullSafe(F.col("id")))
+    within = sent.where("h1 is null").select("id", "h", F.lit(None).cast("string").alias("key"))
+    hits = hits.select("id", "h", F.concat_ws(":", "h1", "h2").alias("key")).unionByName(within)
+    drops = materialize(hits.groupBy(F.col("id").alias("i2"), F.col("h").alias("hh")).agg(F.collect_set("key").alias("keys")), "drops")
+    schema = T.StructType([slim.schema["id"], T.StructField("n_sentences", long), T.StructField("n_removed", long), T.StructField("kept_sha256", T.StringType()), T.StructField("text", T.StringType())])
+    touched = drops.select("i2", "hh")
+    touched = F.broadcast(touched) if touched.count() <= broadcast_rows else touched
+    same = lambda other: slim["id"].eqNullSafe(other["i2"]) & (slim["h"] == other["hh"])
 
     def rewrite(batches):
         for batch in batches:
             made = []
             for text, keys in zip(utf8(batch.column("text")), batch.column("keys").to_pylist(), strict=True):
-                mine = {tuple(map(int, k.split(":"))) for k in keys or ()}
-                made.append(removed(text, lambda h, mine=mine: [tuple(x) in mine for x in h.view(np.int64).tolist()] if mine else np.zeros(len(h), bool)))
+                mine = {tuple(map(int, k.split(":"))) for k in keys}
+                made.append(removed(text, lambda h, mine=mine: np.array([tuple(x) in mine for x in h.view(np.int64).tolist()], bool)))
             yield _rows(batch.column("id"), made)
 
-    return joined.mapInArrow(rewrite, schema).withColumnRenamed("id", id_col)
+    def as_it_is(batches):
+        for batch in batches:
+            yield _rows(batch.column("id"), [(text, len(sentences(text)), 0, []) for text in utf8(batch.column("text"))])
+
+    # Each text goes to exactly one of the two.
+    whole = slim.join(touched, same(touched), "left_anti").select("id", "text").mapInArrow(as_it_is, schema)
+    cut = slim.join(touched, same(touched), "left_semi")
+    cut = cut.join(drops, cut["id"].eqNullSafe(drops["i2"]) & (cut["h"] == drops["hh"])).select("id", "text", "keys").mapInArrow(rewrite, schema)
+    return whole.unionByName(cut).withColumnRenamed("id", id_col)
