@@ -55,7 +55,7 @@ def messages_of(raw) -> Column:
     """The first list of messages that has any, with known roles and content, else user and answer by their keys."""
     def listed(v):
         items = F.try_variant_get(v, "$", "array<variant>")
-        made = F.transform(items, lambda m: F.struct(role_of(F.coalesce(F.try_variant_get(m, "$.role", "string"), F.try_variant_get(m, "$.from", "string"))).alias("role"), F.coalesce(text_of(m, 1), F.lit("")).alias("content")))
+        made = F.transform(items, lambda m: F.struct(role_of(F.coalesce(F.try_variant_get(m, "$.role", "string"), F.try_variant_get(m, "$.from", "string"))).alias("role"), F.coalesce(F.nullif(text_of(F.try_variant_get(m, "$.content", "variant"), 2), F.lit("")), text_of(m, 1), F.lit("")).alias("content")))
         good = F.filter(made, lambda m: m["role"].isin(*ROLES) & (m["content"] != ""))
         return F.when(F.size(good) > 0, good)
 

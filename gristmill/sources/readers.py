@@ -55,7 +55,7 @@ def read_jsonl(spark: SparkSession, path: str, dataset_id: str, root: str | None
 
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Rows of whole JSON documents: arrays, or objects with a known container key."""
-    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path)
+    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
     return container_rows(files, "value", schema)
 
 
@@ -97,7 +97,7 @@ def event_files(rows: DataFrame) -> DataFrame:
 
 def dataset_card(spark: SparkSession, path: str) -> dict[str, str]:
     """Scalar front-matter entries of a README."""
-    rows = spark.read.option("wholetext", "true").text(path).limit(1).collect()
+    rows = spark.read.text(path, wholetext=True).limit(1).collect()
     text = rows[0]["value"] if rows else ""
     if not text.startswith("---"):
         return {}
