@@ -195,6 +195,8 @@ def classes_of(head: Head, before: np.ndarray, rounds: int = 12) -> np.ndarray:
     the end, CLASSES - 1 for those without a row in before."""
     n, free = len(before), CLASSES - 2 - OWN
     out = np.full(len(head.tokens) + 1, CLASSES - 1, np.int64)
+    if not n:
+        return out
     counts = before.astype(np.float32)
     share = counts.sum(0) + 1.0
     share /= share.sum()
