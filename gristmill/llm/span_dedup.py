@@ -37,13 +37,12 @@ def sentences(text: bytes) -> list[tuple[int, int, int]]:
     """(start, end, words) of sentences that have a word; together with the white
     space around them they make up the text."""
     out = []
-    start, words = 0, 0
+    start = 0
     for m in SENTENCE.finditer(text):
         a, b = m.span()
-        n = len(text[a:b].split())
-        words += n
-        if b < len(text) and b > a and text[b - 1] != 10 and text[b : b + 1].strip():
+        if a < b < len(text) and text[b - 1] != 10 and text[b : b + 1].strip():
             continue  # a stop inside a word ends nothing
+        words = len(text[start:b].split())
         if words > LONG:
             at = start
             count = 0
@@ -58,7 +57,6 @@ def sentences(text: bytes) -> list[tuple[int, int, int]]:
             out.append((start, b, words))
         if words:
             start = b
-        words = 0
     return out
 
 
