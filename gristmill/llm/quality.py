@@ -76,7 +76,11 @@ def ledger(docs: DataFrame, text_col: str = "text", out: str = "ledger") -> Data
     """docs plus one struct column: the measurements and the int ``failed``."""
     m = _measure(docs, text_col)
     cols = [F.col(f"_gm_{s}").alias(n) for s, n in zip(("n", "chars", "sym", "dup", "rep", "nl"), MEASURES, strict=True)]
-    return m.select(*[m[c] for c in docs.columns if c != out], F.struct(*cols, _bits().alias("failed")).alias(out))
+    # A filter on the ledger must not be pushed below it: the optimizer would put the
+    # definition of every level in place of its name, over and over.  Nothing that
+    # reads what a generator puts out is pushed below the generator.
+    once = F.explode(F.array(F.struct(*cols, _bits().alias("failed"))))
+    return m.select(*[m[c] for c in docs.columns if c != out], once.alias(out))
 
 
 def judge(docs: DataFrame, policy: str = "v1", text_col: str = "text") -> DataFrame:
