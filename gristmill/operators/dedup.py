@@ -95,6 +95,9 @@ def ensure_checkpoint_dir(spark) -> None:
     """spark.checkpoint.dir, which the session applies itself; a local folder only in local mode."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
+        if named := spark.conf.get("spark.checkpoint.dir", None):
+            sc.setCheckpointDir(named)
+            return
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         sc.setCheckpointDir(f"/tmp/checkpoints/{uuid.uuid4().hex}")

@@ -52,10 +52,19 @@ def sample_key(seed: int, *parts) -> Column:
     return F.sha2(F.concat_ws(":", F.lit(str(seed)), *[F.coalesce((F.col(p) if isinstance(p, str) else p).cast("string"), F.lit("None")) for p in parts]), 256)
 
 
-def token_prefix(df: DataFrame, key: str, tokens: str, target: int, partition: list[str]) -> DataFrame:
-    """Rows in key order up to and with the one that reaches the target, a stratum at a time."""
-    before = W.partitionBy(*partition).orderBy(key).rowsBetween(W.unboundedPreceding, -1)
-    return df.withColumn("mass_before", F.coalesce(F.sum(tokens).over(before), F.lit(0))).where(F.col("mass_before") < target)
+def token_prefix(df: DataFrame, key: str, tokens: str, target: int, partition: list[str], digits: int = 3) -> DataFrame:
+    """Rows in key order up to and with the one that reaches the target, a stratum at a time.
+
+    A running sum over a whole stratum would be one task's work.  The first digits
+    of the key cut a stratum into ranges; range totals give each range its offset,
+    ranges beyond the target go unread, and rows are summed within their range."""
+    cut = df.withColumn("_range", F.substring(key, 1, digits))
+    totals = cut.groupBy(*partition, "_range").agg(F.sum(tokens).alias("_t"))
+    before = F.coalesce(F.sum("_t").over(W.partitionBy(*partition).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = totals.withColumn("_start", before).where(F.col("_start") < target).select(*partition, "_range", "_start")
+    within = W.partitionBy(*partition, "_range").orderBy(key).rowsBetween(W.unboundedPreceding, -1)
+    summed = cut.join(starts, [*partition, "_range"]).withColumn("mass_before", F.col("_start") + F.coalesce(F.sum(tokens).over(within), F.lit(0)))
+    return summed.where(F.col("mass_before") < target).drop("_range", "_start")
 
 
 def bottom_k(df: DataFrame, partition: list[str], order: list, k: int, rank: str = "rank") -> DataFrame:

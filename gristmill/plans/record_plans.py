@@ -159,7 +159,7 @@ def src15(spark, d):
 def src3(spark, d):
     s = table(spark, d, "supplier")
     dirs = table(spark, d, "nation").select(F.upper("n_name").alias("dir"), "n_name", "n_nationkey")
-    named = s.join(F.broadcast(table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), F.lower("n_name").alias("repo_dir"))), F.col("s_nationkey") == F.col("k"), "left")
+    named = s.join(table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), F.lower("n_name").alias("repo_dir")), F.col("s_nationkey") == F.col("k"), "left")
     return inference.match_dirs(named, dirs, "repo_dir", "dir").select("s_suppkey", "n_name")
 
 

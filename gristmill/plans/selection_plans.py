@@ -208,7 +208,7 @@ def win5(spark, d):
 def win7(spark, d):
     o = table(spark, d, "orders")
     total = o.groupBy("o_orderstatus").agg(F.sum("o_totalprice").alias("t"))
-    return o.join(F.broadcast(total), "o_orderstatus").select("o_orderkey", F.round(F.col("o_totalprice") / F.col("t"), 12).alias("share"))
+    return o.join(total, "o_orderstatus").select("o_orderkey", F.round(F.col("o_totalprice") / F.col("t"), 12).alias("share"))
 
 
 @query("top1_bucket_heap", f"with {TOK}, b as (select doc_id, unnest([lang, source]) as bucket from tok), r as (select *, row_number() over (partition by bucket order by sha256('7:' || doc_id::varchar)) as rank from b) select doc_id, bucket, rank from r where rank <= 20")
