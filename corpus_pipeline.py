@@ -36,7 +36,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str, vocabulary: str |
         import public_tokenizers
 
         vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return bpe.encode(docs, vocabulary).selectExpr("doc_id", "lang", "source", "cast(size(ids) as bigint) as n_tokens", "ids")
+    return bpe.encode(docs, vocabulary, keep=["doc_id", "lang", "source"], with_ends=False).selectExpr("doc_id", "lang", "source", "cast(size(ids) as bigint) as n_tokens", "ids")
 
 
 STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact), ("simhash_near_dedup", near), ("source_mixing", mix), ("byte_bpe", encode)]

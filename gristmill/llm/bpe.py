@@ -43,9 +43,11 @@ S_OTHER, S_LETTER, S_NUMBER, S_MID, S_LAST_SPACE, S_LAST, S_QUOTE1, S_QUOTE2, S_
 # numbers, in others, in white space, one and two letters before a contraction ends.
 FREE, JOIN, LETTERS, NUMBERS, OTHERS, SPACES, LEFT1, LEFT2 = range(8)
 #: Merged slices kept by one task at most; beyond that the cache starts anew.
-CACHE_SLICES = 400_000
+CACHE_SLICES = 200_000
+#: Slices of at most so many bytes are merged by a scan of their pairs, longer ones by a heap.
+SHORT = 100
 #: Code points that are scanned at once.
-SCAN_CHARS = 1 << 21
+SCAN_CHARS = 1 << 19
 _LOG_BLOCK = 8
 
 
@@ -132,10 +134,29 @@ def boundaries(sym: np.ndarray) -> np.ndarray:
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one slice: the lowest-ranked adjacent pair is merged, leftmost
-    first, until none has a rank.  A heap over a linked list keeps a slice of n
-    bytes at n log n."""
+    first, until none has a rank."""
     if piece in ranks:
         return [ranks[piece]]
+    return _merge_short(piece, ranks) if len(piece) <= SHORT else _merge_long(piece, ranks)
+
+
+def _merge_short(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """With a list of the pairs' ranks, of which the least is looked up each time."""
+    none, get = 1 << 60, ranks.get
+    cuts = list(range(len(piece) + 1))
+    pair = [get(piece[i : i + 2], none) for i in range(len(piece) - 1)]
+    while pair and (least := min(pair)) != none:
+        i = pair.index(least)
+        del cuts[i + 1], pair[i]
+        if i < len(pair):
+            pair[i] = get(piece[cuts[i] : cuts[i + 2]], none)
+        if i:
+            pair[i - 1] = get(piece[cuts[i - 1] : cuts[i + 1]], none)
+    return [ranks[piece[a:b]] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """With a heap over a linked list, which keeps a slice of n bytes at n log n."""
     n = len(piece)
     end, prev, nxt = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
     alive = [True] * n
@@ -241,24 +262,28 @@ def _codec(shared) -> Codec:
     return Codec(load_ranks(data), np.frombuffer(classes, np.uint8))
 
 
-def encode(docs: DataFrame, vocabulary: str, text_col: str = "text") -> DataFrame:
-    """docs plus ``ids`` array<int> and ``ends`` array<long>, the byte offset at
-    which each token ends; columns of these names are replaced."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    shared = _shared(spark, vocabulary)
-    slim = docs.select(*[c for c in docs.columns if c not in ("ids", "ends")])
-    schema = T.StructType([*slim.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("ends", T.ArrayType(T.LongType(), False))])
+def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", keep: list[str] | None = None, with_ends: bool = True) -> DataFrame:
+    """docs (or its columns keep) plus ``ids`` array<int> and, with_ends, ``ends``
+    array<long>, the byte offset at which each token ends; columns of these names
+    are replaced."""
+    small_batches(docs.sparkSession)
+    shared = _shared(docs.sparkSession, vocabulary)
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("ids", "ends")]
+    slim = docs.select(*kept, F.col(text_col).alias("_gm_text"))
+    made = [("ids", pa.list_(pa.int32()), T.ArrayType(T.IntegerType()))] + [("ends", pa.list_(pa.int64()), T.ArrayType(T.LongType()))] * with_ends
+    schema = T.StructType([*slim.schema.fields[:-1], *[T.StructField(n, kind) for n, _, kind in made]])
 
     def task(batches):
         codec = _codec(shared)
         for batch in batches:
-            texts = utf8(batch.column(text_col))
-            ids, ends = [], []
-            for x in codec.encode(texts):
-                ids.append(np.frombuffer(x, "<i4"))
-                ends.append(codec.offsets(x))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32())), pa.array(ends, pa.list_(pa.int64()))], schema=pa.schema([*batch.schema, ("ids", pa.list_(pa.int32())), ("ends", pa.list_(pa.int64()))]))
+            columns = [[], []]
+            for x in codec.encode(utf8(batch.column("_gm_text"))):
+                columns[0].append(np.frombuffer(x, "<i4"))
+                if with_ends:
+                    columns[1].append(codec.offsets(x))
+            arrays = [pa.array(x, kind) for x, (_, kind, _) in zip(columns, made, strict=False)]
+            fields = [batch.schema.field(i) for i in range(len(kept))] + [(n, kind) for n, kind, _ in made]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *arrays], schema=pa.schema(fields))
 
     return slim.mapInArrow(task, schema)
 
