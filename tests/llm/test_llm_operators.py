@@ -414,6 +414,13 @@ def test_bpe_equals_the_reference_encoder(text):
     assert codec.decode_slice(ids, ends, n // 3, n) == text.encode()[n // 3 :] if n else True
 
 
+@given(st.binary(min_size=1, max_size=60))
+@settings(max_examples=200, deadline=None)
+def test_both_merges_agree(piece):
+    _, codec, ref = codec_and_reference() if "_CODEC" not in globals() else _CODEC
+    assert bpe._merge_short(piece, codec.ranks) == bpe._merge_long(piece, codec.ranks)
+
+
 def test_bpe_documents(spark, tokenizer, monkeypatch):
     path, _, ref = tokenizer
     monkeypatch.setattr(bpe, "SCAN_CHARS", 3000)
