@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import plans
-from .plans import curation_plans, record_plans, selection_plans, stream_plans, text_plans  # noqa: F401  (they register themselves)
+from .plans import curation_plans, detail_plans, record_plans, selection_plans, stream_plans, text_plans  # noqa: F401  (they register themselves)
 
 
 def queries():

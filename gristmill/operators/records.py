@@ -67,6 +67,25 @@ def messages_of(raw) -> Column:
     return F.coalesce(*[listed(unwrapped(raw, k)) for k in MESSAGE_KEYS], pair)
 
 
+def event_messages(raw) -> Column:
+    """Messages of an event stream: an event's nested message, else a typed event with content or text."""
+    events = F.try_variant_get(unwrapped(raw, "_event_stream"), "$", "array<variant>")
+
+    def message(e):
+        nested, kind = F.try_variant_get(e, "$.message", "variant"), casefold(F.coalesce(F.try_variant_get(e, "$.type", "string"), F.lit("")))
+        inner = F.struct(role_of(F.try_variant_get(nested, "$.role", "string")).alias("role"), F.coalesce(text_of(F.try_variant_get(nested, "$.content", "variant"), 1), F.lit("")).alias("content"))
+        own = F.coalesce(F.nullif(text_of(F.try_variant_get(e, "$.content", "variant"), 1), F.lit("")), text_of(F.try_variant_get(e, "$.text", "variant"), 0), F.lit(""))
+        typed = F.struct(F.when(kind.isin("user", "assistant", "tool", "tool_result"), role_of(kind)).otherwise("").alias("role"), own.alias("content"))
+        return F.when(inner["role"].isin(*ROLES) & (inner["content"] != ""), inner).otherwise(typed)
+
+    return F.filter(F.transform(events, message), lambda m: m["role"].isin(*ROLES) & (m["content"] != ""))
+
+
+def metadata_json(df: DataFrame, columns: list[str]) -> Column:
+    """Scalar columns as a JSON object with sorted keys, nulls left out."""
+    return F.to_json(F.struct(*[F.col(c) for c in sorted(columns)]))
+
+
 def first_text(raw, keys) -> Column:
     """The first key with a non-empty text, at the top or under metadata or meta."""
     return F.coalesce(*[F.nullif(text_of(unwrapped(raw, k), 1), F.lit("")) for k in keys])
