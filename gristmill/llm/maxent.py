@@ -319,6 +319,7 @@ def train(texts: DataFrame, label: np.ndarray, rounds: int) -> np.ndarray:
     texts, and starts from the average of the round before."""
     spark = texts.sparkSession
     w = np.zeros((ROWS, CLASSES), np.float32)
+    w[-1, np.bincount(label, minlength=CLASSES) == 0] = -1e4  # a class without tokens has no probability
     for k in range(rounds):
         part = texts if rounds == 1 else texts.where(F.pmod(F.xxhash64("ids"), F.lit(rounds)) == k)
         shared = spark.sparkContext.broadcast((w.tobytes(), label.tobytes()))
@@ -330,6 +331,17 @@ def train(texts: DataFrame, label: np.ndarray, rounds: int) -> np.ndarray:
     return w
 
 
+def unigrams(c: np.ndarray, label: np.ndarray, whole: float) -> tuple[np.ndarray, np.ndarray, float]:
+    """log10 of each id's share of all tokens and of its class, 0 for the id of the
+    others, and the weight of class CLASSES - 1: that of its tokens with ids and of
+    all without, an unknown one included, so its parts have one denominator."""
+    n, weight = len(c), c + 0.5
+    in_class = np.bincount(label[:n], weights=weight, minlength=CLASSES).astype(np.float64)
+    # ids that no training text has are not in whole
+    in_class[-1] += whole - weight[c > 0].sum()
+    return np.append(np.log10(weight / whole), 0.0), np.append(np.log10(weight / in_class[label[:n]]), 0.0), float(in_class[-1])
+
+
 def _score(shared):
     """Sums over each text: what its head tokens give, and what the class of the others gives."""
 
@@ -374,11 +386,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", head_
     before = _gather(few.mapInArrow(_before(m_classed, frozenset(i for i, t in enumerate(head.tokens[:CONTEXTS]) if t == END)), "row long, data binary"), np.int32, max(1, m_classed), CONTEXTS)[:m_classed]
     label = classes_of(head, before)
     w = train(learn, label, rounds)
-    weight, whole = head.c + 0.5, n_train + 0.5 * (v + 1)
-    rest = max(whole - weight.sum(), 0.5)  # what the tokens without an id have together, an unknown one included
-    in_class = np.bincount(label[:n], weights=weight, minlength=CLASSES)
-    base = np.append(np.log10(weight / whole), 0.0)
-    inner = np.append(np.log10(weight / in_class[label[:n]]), 0.0)
+    whole = n_train + 0.5 * (v + 1)
+    base, inner, rest = unigrams(head.c, label, whole)
     known = np.append((head.c > 0).astype(np.float64), 0.0)
     model = spark.sparkContext.broadcast((w.tobytes(), label.tobytes(), base.tobytes(), inner.tobytes(), known.tobytes()))
     out = [T.StructField("uid", T.LongType()), fields[0], fields[1], fields[2], T.StructField("k", T.LongType()), T.StructField("b", T.DoubleType()), T.StructField("s", T.DoubleType())]

@@ -51,6 +51,31 @@ def test_lm_probabilities_add_up_to_one():
     assert (maxent.features(np.array([2, 4]), np.array([0]))[:, :2] == f[:, 3:]).all()
 
 
+def test_lm_tokens_of_each_class_add_up_to_one(spark, monkeypatch):
+    labels, classes_of = [], maxent.classes_of
+
+    def spy(*args):
+        label = classes_of(*args)
+        label[50:] = maxent.CLASSES - 1  # tokens with ids beside those without
+        labels.append(label)
+        return label
+
+    monkeypatch.setattr(maxent, "classes_of", spy)
+    monkeypatch.setattr(maxent, "train", lambda *_: np.zeros((maxent.ROWS, maxent.CLASSES), np.float32))
+    rng = random.Random(9)
+    vocabulary = [f"w{k}" for k in range(300)]
+    test = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 5 == 1]
+    learn = [i for i in range(2000) if i not in test]
+    data = [(learn.pop(), " ".join(rng.choices(vocabulary, [1 / (k + 1) for k in range(300)], k=50))) for _ in range(100)]
+    data += [(learn.pop(), w) for w in vocabulary]
+    data += [(test.pop(), "unseen often"), *((test.pop(), "often") for _ in range(40)), (test.pop(), "unseen")]  # often has an id and no training count
+    got = maxent.score(frame(spark, [(i, t, "en", "s", 0) for i, t in data]), head_rows=120).collect()
+    text, size = dict(data), math.log10(maxent.CLASSES)
+    p = {text[r["doc_id"]]: 10 ** (r["score"] + 2 * size) for r in got if r["n_tokens"] == 2}
+    assert 50 < len(labels[0]) - 1 < len(p) == 302
+    assert sum(p.values()) == pytest.approx(len(set(labels[0].tolist()) - {maxent.CLASSES - 2}))
+
+
 def test_lm_learns_history(spark):
     rng = random.Random(4)
     data = []
