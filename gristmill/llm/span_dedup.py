@@ -1,14 +1,20 @@
-"""Substring dedup over sliding spans of sentences.
+"""Substring dedup over sliding spans of pieces of sentences.
 
-A text is cut into sentences; a sentence of more than LONG words is cut further,
-after words whose checksum says so, so that a passage pasted into a long or
-unpunctuated sentence is cut alike wherever it stands.  From every sentence a span
-runs on until it has SENTENCES sentences and WORDS words.  Spans are hashed (128
-bits) and joined globally; every sentence covered by a repeated span is removed,
-except where the span is first: in the smallest doc_id, at its first place there.
+A text is cut into sentences, and each sentence into pieces: of any CUT words in a
+row within a sentence, it is cut after the one of the least hash.  So a piece has
+CUT words at most, whatever the words are, and a passage pasted into any sentence
+is cut alike wherever it stands, but for CUT - 1 words at either end.  From every
+piece a span runs on until it has PIECES pieces and WORDS words, and then to the end
+of its sentence if that is at most CUT words away, so that whole sentences go whole.
+Spans are hashed (128 bits) by their words and joined globally; every piece covered
+by a repeated span is removed, except where the span is first: in the smallest
+doc_id, at its first place there.  A repeated passage of 51 words always holds a
+whole span, wherever it stands.
 
 A task sends each span of a document once, and counts meet on the map side first,
-so a passage in a third of all documents costs one row a task.  Null texts count as
+so a passage in a third of all documents costs one row a task.  Only spans that
+pass a filter of the repeated ones are shuffled again; it has a fixed most size, and
+where it is overfilled more spans pass and the results stay the same.  Null texts count as
 empty; texts shorter than a span lose nothing; rows equal in doc_id and text count
 as one document.  A null doc_id is never first.
 """
@@ -17,7 +23,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -27,58 +32,90 @@ from pyspark.sql import types as T
 
 from .common import BROADCAST_ROWS, hot_join, materialize, small_batches, text_of, utf8
 
-SENTENCES, WORDS = 3, 20
-LONG, CUT = 16, 8
+PIECES, WORDS = 3, 20
+CUT = 6
+#: Bits of the filter of repeated spans for each of them, between the two powers of two, and bytes of one block (2^16 bits).
+BITS, LEAST_LOG2, MOST_LOG2, BLOCK = 12, 17, 28, 1 << 13
 SENTENCE = re.compile(rb"[^.!?\n]*(?:[.!?]+(?=\s|$)|\n|$|[.!?]+)")
-WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+SPACE = np.zeros(256, bool)
+SPACE[[32, *range(9, 14)]] = True
+#: Odd factors of the two halves of a span's hash, and their inverses modulo 2^64.
+FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4D)
+INVERSES = tuple(pow(f, -1, 1 << 64) for f in FACTORS)
 
 
-def sentences(text: bytes) -> list[tuple[int, int, int]]:
-    """(start, end, words) of sentences that have a word; together with the white
-    space around them they make up the text."""
+def _ends(text: bytes) -> list[int]:
+    """Where the sentences end."""
     out = []
-    start = 0
     for m in SENTENCE.finditer(text):
         a, b = m.span()
         if a < b < len(text) and text[b - 1] != 10 and text[b : b + 1].strip():
             continue  # a stop inside a word ends nothing
-        words = len(text[start:b].split())
-        if words > LONG:
-            at = start
-            count = 0
-            for w in WORD.finditer(text, start, b):
-                count += 1
-                if zlib.crc32(w[0].lower()) % CUT == 0:
-                    out.append((at, w.end(), count))
-                    at, count = w.end(), 0
-            if count:
-                out.append((at, b, count))
-        elif words:
-            out.append((start, b, words))
-        if words:
-            start = b
+        if a < b:
+            out.append(b)
     return out
 
 
-def spans(text: bytes) -> tuple[list[tuple[int, int, int]], np.ndarray, np.ndarray]:
-    """Sentences, the 128-bit hash of the span from each (as two uint64), and the
-    sentence after its last; the arrays end where no span fits any more."""
+def _pieces(text: bytes):
+    """Starts and ends of the pieces, the number of words up to each end and up to
+    the end of its sentence, and the hashes of all words (as two uint64)."""
     from xxhash import xxh3_128_digest
 
-    parts = sentences(text)
-    digest = [xxh3_128_digest(b" ".join(text[a:b].lower().split())) for a, b, _ in parts]
-    hashes, stops = [], []
-    j, words = 0, 0
-    for i in range(len(parts)):
-        while j < len(parts) and (j - i < SENTENCES or words < WORDS):
-            words += parts[j][2]
-            j += 1
-        if j - i < SENTENCES or words < WORDS:
-            break
-        hashes.append(xxh3_128_digest(b"".join(digest[i:j])))
-        stops.append(j)
-        words -= parts[i][2]
-    return parts, np.frombuffer(b"".join(hashes), "<u8").reshape(-1, 2), np.array(stops, np.int64)
+    words = text.lower().split()
+    n = len(words)
+    if not n:
+        none = np.zeros(0, np.int64)
+        return none, none, none, none, np.zeros((0, 2), np.uint64)
+    h = np.frombuffer(b"".join(map(xxh3_128_digest, words)), "<u8").reshape(-1, 2)
+    edge = np.flatnonzero(np.diff(SPACE[np.frombuffer(text, np.uint8)], prepend=True, append=True))
+    first, last = edge[::2], edge[1::2]
+    ends = np.array(_ends(text), np.int64)
+    of = np.searchsorted(ends, first, "right")
+    closes = np.append(of[1:] != of[:-1], True)  # the last words of sentences
+    cut = closes.copy()
+    if n >= CUT:
+        # the last of the least in each window of CUT words that is within a sentence
+        least, at = h[: n - CUT + 1, 0].copy(), np.arange(n - CUT + 1)
+        for k in range(1, CUT):
+            x = h[k : n - CUT + 1 + k, 0]
+            lower = x <= least
+            least[lower] = x[lower]
+            at[lower] = np.flatnonzero(lower) + k
+        cut[at[of[: n - CUT + 1] == of[CUT - 1 :]]] = True
+    stop = np.flatnonzero(cut)
+    b = np.where(closes[stop], ends[np.minimum(of[stop], len(ends) - 1)], last[stop])
+    closing = np.flatnonzero(closes)
+    return np.append(0, b[:-1]), b, stop + 1, closing[np.searchsorted(closing, stop)] + 1, h
+
+
+def sentences(text: bytes) -> list[tuple[int, int, int]]:
+    """(start, end, words) of the pieces of sentences that have a word; together
+    with the white space around them they make up the text."""
+    a, b, upto, _, _ = _pieces(text)
+    return list(zip(a.tolist(), b.tolist(), np.diff(upto, prepend=0).tolist(), strict=True))
+
+
+def spans(text: bytes) -> tuple[list[tuple[int, int, int]], np.ndarray, np.ndarray]:
+    """Pieces, the 128-bit hash of the span from each (as two uint64), and the
+    piece after its last; the arrays end where no span fits any more."""
+    a, b, upto, sentence, h = _pieces(text)
+    n = len(a)
+    parts = list(zip(a.tolist(), b.tolist(), np.diff(upto, prepend=0).tolist(), strict=True))
+    before = np.append(0, upto)  # words before each piece
+    stops = np.maximum(np.arange(n) + PIECES, np.searchsorted(before, before[:-1] + WORDS))
+    stops = stops[stops <= n]
+    end = sentence[stops - 1]
+    stops = np.where(end - before[stops] <= CUT, np.searchsorted(before, end), stops)
+    i, j = before[: len(stops)], before[stops]
+    hashes = np.empty((len(stops), 2), np.uint64)
+    with np.errstate(over="ignore"):
+        for k in (0, 1):
+            power, inverse = (np.cumprod(np.append(np.uint64(1), np.full(len(h), f, np.uint64)), dtype=np.uint64) for f in (FACTORS[k], INVERSES[k]))
+            total = np.append(np.uint64(0), np.cumsum(h[:, k] * power[:-1], dtype=np.uint64))
+            x = (total[j] - total[i]) * inverse[i] + (j - i).astype(np.uint64)
+            x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+            hashes[:, k] = x ^ (x >> np.uint64(32))
+    return parts, hashes, stops
 
 
 def _sent(batches):
@@ -101,6 +138,53 @@ def _sent(batches):
             yield pa.RecordBatch.from_arrays([batch.column("id").take(rows), batch.column("h").take(rows), *hashes], ["id", "h", "h1", "h2"])
 
 
+def _places(h: np.ndarray, log2: int) -> list[np.ndarray]:
+    """Two bits of the filter for each hash, both in the block that its highest bits name."""
+    h = h.view(np.uint64)
+    at = (h >> np.uint64(64 - log2)).astype(np.int64)
+    with np.errstate(over="ignore"):
+        return [at, at >> 16 << 16 | (h * np.uint64(FACTORS[0]) >> np.uint64(48)).astype(np.int64)]
+
+
+def _filter(table: DataFrame) -> tuple[int, bytes]:
+    """log2 of the bits, and the filter of the hashes h1 of a table: 2^MOST_LOG2
+    bits (32 MB) at most, so the driver can hold and broadcast it."""
+    spark = table.sparkSession
+    log2 = int(np.clip(np.ceil(np.log2(max(1, table.count()) * BITS)), LEAST_LOG2, MOST_LOG2))
+
+    def build(batches):
+        bits = np.zeros(1 << log2, bool)
+        for batch in batches:
+            for at in _places(batch.column("h1").to_numpy(), log2):
+                bits[at] = True
+        packed = np.packbits(bits, bitorder="little")
+        for k in range(0, len(packed), BLOCK):
+            if packed[k : k + BLOCK].any():
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([packed[k : k + BLOCK].tobytes()], pa.binary())], ["at", "bits"])
+
+    # the hashes of a block meet in one task, so each block is sent once
+    tasks = max(1, min(1 << (log2 - 16), 4 * spark.sparkContext.defaultParallelism))
+    ranges = table.select("h1").repartition(tasks, F.shiftrightunsigned("h1", 64 - (log2 - 16)))
+    out = np.zeros(1 << (log2 - 3), np.uint8)
+    for row in ranges.mapInArrow(build, "at long, bits binary").toLocalIterator():
+        out[row["at"] : row["at"] + len(row["bits"])] |= np.frombuffer(row["bits"], np.uint8)
+    return log2, out.tobytes()
+
+
+def _passing(shared):
+    def task(batches):
+        log2, raw = shared.value
+        bits = np.frombuffer(raw, np.uint8)
+        for batch in batches:
+            hit = np.ones(batch.num_rows, bool)
+            for at in _places(batch.column("h1").to_numpy(), log2):
+                hit &= (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+            if hit.any():
+                yield batch.filter(pa.array(hit))
+
+    return task
+
+
 def removed(text: bytes, first_here) -> tuple[bytes, int, int, list[tuple[int, int]]]:
     """Kept text, sentences, removed ones and the removed byte spans.
     first_here(hashes) gives, a span, whether it is repeated and first elsewhere;
@@ -152,7 +236,9 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     table = materialize(shared.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").withColumnRenamed("h2", "g2"), "repeated")
     total = table.agg(F.sum("n")).first()[0] or 0
     # h1 alone is the join key; two spans that share it are told apart by the other half
-    hits = hot_join(shared, table, "h1", "n", total).where((F.col("h2") == F.col("g2")) & ~F.col("first").eqNullSafe(F.col("id")))
+    passing = shared.mapInArrow(_passing(docs.sparkSession.sparkContext.broadcast(_filter(table))), shared.schema)
+    passing = materialize(passing, "suspects")
+    hits = hot_join(passing, table, "h1", "n", total).where((F.col("h2") == F.col("g2")) & ~F.col("first").eqNullSafe(F.col("id")))
     within = sent.where("h1 is null").select("id", "h", F.lit(None).cast("string").alias("key"))
     hits = hits.select("id", "h", F.concat_ws(":", "h1", "h2").alias("key")).unionByName(within)
     drops = materialize(hits.groupBy(F.col("id").alias("i2"), F.col("h").alias("hh")).agg(F.collect_set("key").alias("keys")), "drops")
@@ -171,7 +257,7 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def as_it_is(batches):
         for batch in batches:
-            yield _rows(batch.column("id"), [(text, len(sentences(text)), 0, []) for text in utf8(batch.column("text"))])
+            yield _rows(batch.column("id"), [(text, len(_pieces(text)[0]), 0, []) for text in utf8(batch.column("text"))])
 
     # Each text goes to exactly one of the two.
     whole = slim.join(touched, same(touched), "left_anti").select("id", "text").mapInArrow(as_it_is, schema)

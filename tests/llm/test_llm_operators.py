@@ -533,6 +533,33 @@ def test_spans(spark, most):
     assert span_dedup.dedup_spans(empty(spark), broadcast_rows=most).count() == 0
 
 
+def test_passages_inside_running_text_are_found(spark):
+    rng = random.Random(6)
+    data, sizes = [], {}
+    for i in range(400):
+        say = lambda n, stop=0.1 * (i % 2): " ".join(f"v{rng.randrange(5000)}" + "." * (rng.random() < stop) for _ in range(n))
+        passage = say(51 + i % 10)
+        for doc in (2 * i, 2 * i + 1):
+            data.append((doc, f"{say(rng.randint(5, 60))} {passage} {say(rng.randint(5, 60))}", "en", "s", 0))
+        sizes[2 * i + 1] = len(words(data[-1][1])), 51 + i % 10
+    got = {r["doc_id"]: r for r in span_dedup.dedup_spans(frame(spark, data)).collect()}
+    assert all(got[i]["n_removed"] == 0 for i in got if i not in sizes)
+    lost = [(n - len(words(got[i]["text"])), of) for i, (n, of) in sizes.items()]
+    assert all(20 <= k <= of for k, of in lost)
+    assert sum(k for k, _ in lost) > 0.85 * sum(of for _, of in lost)
+
+
+def test_whole_sentences_go_whole():
+    rng = random.Random(8)
+    for _ in range(200):
+        say = lambda n: " ".join(f"v{rng.randrange(5000)}" for _ in range(n)) + "."
+        passage = " ".join(say(rng.randint(8, 30)) for _ in range(3))
+        known = {bytes(h) for h in span_dedup.spans(f"{say(9)} {passage} {say(12)}".encode())[1]}
+        a, b = say(15), say(7)
+        kept = span_dedup.removed(f"{a} {passage} {b}".encode(), lambda h, known=known: np.array([bytes(x) in known for x in h]))[0]
+        assert words(kept.decode()) == words(f"{a} {b}")
+
+
 @given(st.lists(st.sampled_from(["word", "End.", "stop!", "\n", "a.b", "x", "?!", "...", "中。"]), max_size=60))
 @settings(max_examples=100, deadline=None)
 def test_sentences_tile_the_text(parts):
