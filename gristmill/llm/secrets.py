@@ -70,15 +70,13 @@ def linked_spans(text: bytes, base: list[tuple[int, int, int]]) -> list[tuple[in
     ids = [(a, b) for a, b, k in base if k == 1]
     if not ids:
         return []
-    lo, hi = ids[0][0], ids[-1][1]
-    taken = [(a, b) for a, b, k in base]
-    window = text[max(0, lo - SCOPE - 64) : hi + SCOPE + 64]
-    shift = max(0, lo - SCOPE - 64)
-    weak = [(m.start() + shift, m.end() + shift) for m in SECRET.finditer(window)]
-    weak = [s for s in weak if not any(a < s[1] and s[0] < b for a, b in taken)] if weak else []
+    taken = _merged([(a, b) for a, b, k in base])
+    # over the whole text: a slice would cut parts that reach over its edges
+    weak = [m.span() for m in SECRET.finditer(text)]
+    weak = [s for s, met in zip(weak, in_scope(taken, weak, 0), strict=True) if not met]
     secrets = [s for s, ok in zip(weak, in_scope(ids, weak, SCOPE), strict=True) if ok]
     every = sorted(secrets + [(a, b) for a, b, k in base if k != 1])
-    hosts = [(m.start() + shift, m.end() + shift) for m in ENDPOINT.finditer(window)]
+    hosts = [m.span() for m in ENDPOINT.finditer(text)]
     near = in_scope(ids, hosts, SCOPE)
     ends = [s for s, a, b in zip(hosts, near, in_scope(_merged(every), hosts, SCOPE), strict=True) if a and b]
     return [(a, b, 3) for a, b in secrets] + [(a, b, 4) for a, b in ends]
