@@ -34,9 +34,9 @@ from .common import materialize, small_batches, text_of, utf8
 
 FOLDS, HELD_OUT = 5, 1
 #: Tokens with an id, of those the contexts that classes are made from, and classes.
-HEAD, CONTEXTS, CLASSES = 1 << 17, 32, 32
-#: Tokens that are clustered into classes; those after them join the class of the rest.
-CLASSED = 1 << 16
+HEAD, CONTEXTS, CLASSES = 1 << 18, 48, 32
+#: Rows that are clustered at once.
+BLOCK = 1 << 14
 #: Classes that the most frequent tokens have for themselves (the end has one too, and the rest has one).
 OWN = 6
 #: Buckets of the three features, rate of the gradient steps, tokens of one step.
@@ -192,24 +192,26 @@ def _gather(rows: DataFrame, dtype, n: int, width: int) -> np.ndarray:
 
 def classes_of(head: Head, before: np.ndarray, rounds: int = 12) -> np.ndarray:
     """The class of each token with an id, and last of the others: CLASSES - 2 for
-    the end, CLASSES - 1 for those without a row in before."""
+    the end, CLASSES - 1 for those without an id."""
     n, free = len(before), CLASSES - 2 - OWN
     out = np.full(len(head.tokens) + 1, CLASSES - 1, np.int64)
     if not n:
         return out
-    counts = before.astype(np.float32)
-    share = counts.sum(0) + 1.0
+    share = before.sum(0) + 1.0
     share /= share.sum()
     # mixture of multinomials, started from the rows of evenly spaced frequent tokens
     picks = np.unique(np.linspace(0, max(0, min(n, 512) - 1), free).astype(int))
-    theta = np.log((counts[picks] + 20 * share) / (counts[picks].sum(1, keepdims=True) + 20))
+    theta = np.log((before[picks] + 20 * share) / (before[picks].sum(1, keepdims=True) + 20))
     prior = np.zeros(len(picks))
     label = np.zeros(n, np.int64)
     for _ in range(rounds):
-        label = np.argmax(counts @ theta.T + prior, 1) if n else label
-        sums, sizes = np.zeros((len(picks), counts.shape[1])), np.ones(len(picks))
-        np.add.at(sums, label, counts)
-        np.add.at(sizes, label, 1)
+        sums = np.zeros(theta.shape)
+        for at in range(0, n, BLOCK):
+            counts = before[at : at + BLOCK].astype(np.float64)
+            own = np.argmax(counts @ theta.T + prior, 1)
+            label[at : at + BLOCK] = own
+            sums += (own == np.arange(len(picks))[:, None]).astype(np.float64) @ counts
+        sizes = np.bincount(label, minlength=len(picks)) + 1.0
         theta = np.log((sums + 20 * share) / (sums.sum(1, keepdims=True) + 20))
         prior = np.log(sizes / sizes.sum())
     out[:n] = OWN + label
@@ -377,13 +379,13 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", head_
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
     n_train, v = int(total[0]), int(total[1])
     head = head_of(counts, head_rows)
-    n, m_classed = len(head.tokens), min(len(head.tokens), CLASSED)
+    n = len(head.tokens)
     shared = spark.sparkContext.broadcast(head.tokens)
     fields = [slim.schema["id"], T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("tail", T.ArrayType(T.BinaryType()))]
     made = materialize(slim.mapInArrow(_to_ids(shared), T.StructType(fields)).withColumn("uid", F.monotonically_increasing_id()), "ids")
     learn = made.where("not held_out").select("ids")
     few = learn.coalesce(4 * spark.sparkContext.defaultParallelism)
-    before = _gather(few.mapInArrow(_before(m_classed, frozenset(i for i, t in enumerate(head.tokens[:CONTEXTS]) if t == END)), "row long, data binary"), np.int32, max(1, m_classed), CONTEXTS)[:m_classed]
+    before = _gather(few.mapInArrow(_before(n, frozenset(i for i, t in enumerate(head.tokens[:CONTEXTS]) if t == END)), "row long, data binary"), np.int32, max(1, n), CONTEXTS)[:n]
     label = classes_of(head, before)
     w = train(learn, label, rounds)
     whole = n_train + 0.5 * (v + 1)

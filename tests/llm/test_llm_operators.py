@@ -76,6 +76,33 @@ def test_lm_tokens_of_each_class_add_up_to_one(spark, monkeypatch):
     assert sum(p.values()) == pytest.approx(len(set(labels[0].tolist()) - {maxent.CLASSES - 2}))
 
 
+def test_lm_clusters_all_tokens_with_ids():
+    n = (1 << 17) + 1000
+    rng = np.random.default_rng(2)
+    kind = np.where(np.arange(n) < maxent.OWN, 0, rng.integers(0, 2, n))
+    before = np.zeros((n, maxent.CONTEXTS), np.int32)
+    before[np.arange(n), 10 + kind] = 100
+    assert n <= maxent.HEAD and maxent.CONTEXTS == 48
+    label = maxent.classes_of(maxent.Head([b"t%d" % i for i in range(n)], np.ones(n)), before)
+    assert label[n] == maxent.CLASSES - 1 and (label[:n] < maxent.CLASSES - 2).all()
+    a, b = (set(label[maxent.OWN : n][kind[maxent.OWN :] == k].tolist()) for k in (0, 1))
+    assert a and b and not a & b
+
+
+def test_lm_clusters_what_score_gives_ids(spark, monkeypatch):
+    rows_, classes_of = [], maxent.classes_of
+
+    def spy(head, before):
+        rows_.append((len(head.tokens), len(before)))
+        return classes_of(head, before)
+
+    monkeypatch.setattr(maxent, "classes_of", spy)
+    n = 70_000
+    data = [(i, " ".join(f"w{k}" for k in range(i * 1000, i * 1000 + 1000)), "en", "s", 0) for i in range(n // 1000)]
+    maxent.score(frame(spark, data)).count()
+    assert rows_ == [(n + 1, n + 1)]
+
+
 def test_lm_learns_history(spark):
     rng = random.Random(4)
     data = []
