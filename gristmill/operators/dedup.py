@@ -42,14 +42,17 @@ def simhash(df: DataFrame, id_col: str, text: Column, size: int = 3, most: int =
     exploded grams, which combines on the map side; texts without grams have 0."""
     if most >= 1 << 15:
         raise ValueError("a vote is counted in 16 bits")
-    g = df.select(F.col(id_col), F.explode(grams(text, size, most, distinct=False)).alias("g"))
-    h = g.select(id_col, md5_64("g").alias("h"))
+    g = df.select(F.col(id_col), F.monotonically_increasing_id().alias("_row"), F.explode(grams(text, size, most, distinct=False)).alias("g"))
+    h = g.select(id_col, "_row", md5_64("g").alias("h"))
     # Four bits vote in one sum, 16 bits apart: 16 sums instead of 64 keep the aggregation's code small enough to compile.
     lanes = F.lit(0x0001000100010001)
-    votes = h.groupBy(id_col).agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.shiftrightunsigned("h", i).bitwiseAND(lanes)).alias(f"b{i}") for i in range(16)])
+    rows = h.groupBy(id_col, "_row").agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.shiftrightunsigned("h", i).bitwiseAND(lanes)).alias(f"b{i}") for i in range(16)])
+    # An id may have any number of rows, so their votes are summed 32 bits apart.
+    wide = F.lit(0x0000FFFF0000FFFF)
+    votes = rows.groupBy(id_col).agg(F.sum("n").alias("n"), *[F.sum(F.shiftrightunsigned(f"b{i % 16}", i // 16 * 16).bitwiseAND(wide)).alias(f"w{i}") for i in range(32)])
     sig = F.lit(0).cast("long")
     for i in range(64):
-        count = F.shiftrightunsigned(f"b{i % 16}", i // 16 * 16).bitwiseAND(0xFFFF)
+        count = F.shiftrightunsigned(f"w{i % 32}", i // 32 * 32).bitwiseAND(0xFFFFFFFF)
         sig = sig.bitwiseOR(F.when(2 * count >= F.col("n"), F.shiftleft(F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
     made = votes.select(F.col(id_col).alias("_id"), sig.alias("simhash"))
     return df.select(id_col).join(made, F.col(id_col) == F.col("_id"), "left").select(id_col, F.coalesce("simhash", F.lit(0).cast("long")).alias("simhash"))

@@ -64,6 +64,13 @@ def test_simhash_against_python(spark):
         assert got[i] & (2**64 - 1) == want
 
 
+def test_simhash_of_an_id_with_many_rows(spark):
+    df = spark.createDataFrame([(1, "a" * 258)] * 300 + [(2, "a" * 258)], "id long, t string")
+    got = {(r["id"], r["simhash"] & (2**64 - 1)) for r in dedup.simhash(df, "id", F.col("t")).collect()}
+    want = int(hashlib.md5(b"aaa").hexdigest()[:16], 16)
+    assert got == {(1, want), (2, want)}
+
+
 def test_near_edges_are_lossless_and_greedy_is_sequential(spark):
     rng = random.Random(5)
     sigs = []
