@@ -6,7 +6,8 @@ the symbols says where tokens begin.  Its transition functions compose, so the
 states of a whole batch come from a blocked scan: compose the functions inside
 all blocks side by side, scan the few block results, then replay each block from
 its now known state.  The slices between boundaries are merged pair by pair once
-and cached; the ids' byte offsets are kept, and decoding uses them.
+and cached.  encode(with_ends=True) keeps the ids' byte offsets, which decode_slice
+uses; digests() and the pipeline decode nothing by offsets.
 
 Null texts count as empty and have no ids.  Whole texts are encoded; repeated
 rows are encoded alike.
