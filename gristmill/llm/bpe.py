@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, utf8
+from .common import slices, utf8
 
 # The White_Space code points of Unicode.
 WHITE_SPACE = [9, 10, 11, 12, 13, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
@@ -267,7 +267,6 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", keep: list[
     """docs (or its columns keep) plus ``ids`` array<int> and, with_ends, ``ends``
     array<long>, the byte offset at which each token ends; columns of these names
     are replaced."""
-    small_batches(docs.sparkSession)
     shared = _shared(docs.sparkSession, vocabulary)
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("ids", "ends")]
     slim = docs.select(*kept, F.col(text_col).alias("_gm_text"))
@@ -276,7 +275,7 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", keep: list[
 
     def task(batches):
         codec = _codec(shared)
-        for batch in batches:
+        for batch in slices(batches):
             columns = [[], []]
             for x in codec.encode(utf8(batch.column("_gm_text"))):
                 columns[0].append(np.frombuffer(x, "<i4"))
@@ -297,7 +296,7 @@ def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids", out: str =
 
     def task(batches):
         codec = _codec(shared)
-        for batch in batches:
+        for batch in slices(batches):
             made = [codec.decode(np.array(x or [], "<u4").tobytes()) for x in batch.column(ids_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.binary())], schema=pa.schema([*batch.schema, (out, pa.binary())]))
 
@@ -308,7 +307,6 @@ def digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col:
     """One row a document: n_tokens, the digest of its ids and, after decoding
     them again, of the decoded bytes.  Ids stay on the executor."""
     spark = docs.sparkSession
-    small_batches(spark)
     shared = _shared(spark, vocabulary)
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     schema = T.StructType([T.StructField("doc_id", slim.schema["doc_id"].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
@@ -316,7 +314,7 @@ def digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col:
     def task(batches):
         codec = _codec(shared)
         sha = lambda x: hashlib.sha256(x).hexdigest()
-        for batch in batches:
+        for batch in slices(batches):
             texts = utf8(batch.column("text"))
             rows = [(len(x) // 4, sha(x), sha(codec.decode(x))) for x in codec.encode(texts)]
             n, ids, decoded = zip(*rows, strict=True) if rows else ((), (), ())

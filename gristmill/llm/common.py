@@ -65,10 +65,12 @@ def discard(df: DataFrame) -> None:
             _made.remove((spark, path))
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound what one Arrow batch of whole texts may hold."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+def slices(batches, rows: int = 1000):
+    """Arrow batches of at most so many rows, whatever the session puts into one
+    (64 MB by default, which Spark's own setting bounds)."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def utf8(column) -> list[bytes]:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_ROWS, hot_join, keep_rows, materialize, small_batches, text_of
+from .common import BROADCAST_ROWS, hot_join, keep_rows, materialize, text_of
 
 #: Rows of one sender block; a task with more rows makes several.
 BLOCK_ROWS = 1 << 18
@@ -136,7 +136,6 @@ def _marked(batches):
 def fingerprint_exchange(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: id, sha (hex SHA-256 of the text) and suspect.  Equal
     texts are always suspects; few others are."""
-    small_batches(docs.sparkSession, 10_000)
     total = docs.count()
     owner_bits = min(MAX_OWNERS_LOG2, max(0, int(np.ceil(np.log2(max(1, total / OWNER_ROWS))))))
     bits = min(56, max(owner_bits + 1, int(np.ceil(np.log2(max(2, total)))) + SLACK_BITS))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, small_batches, text_of, utf8
+from .common import materialize, slices, text_of, utf8
 
 LEAST_CHARS, LEAST_DOCS = 20, 3
 #: Bits of a filter: this many for each byte of the largest count of lines
@@ -190,7 +190,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row a document: id_col, n_lines, n_dropped, kept_sha256 and, with
     with_text, kept (the text without its dropped lines)."""
     spark = docs.sparkSession
-    small_batches(spark)
     slim = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     lines = materialize(repeated_lines(slim), "lines")
     fields = [slim.schema["id"], T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()), T.StructField("kept_sha256", T.StringType())]

@@ -1,22 +1,35 @@
 """LM scoring by a hashed maximum-entropy model.
 
 The probability of a token is that of its class given the history, times that of
-the token within its class.  The class is a softmax over CLASSES classes whose
-logits add up one weight row for each hashed feature of the history: the last
-token, the last two as a pair, and the token before the last (a skip feature).
-Training is a distributed gradient ascent: tasks start from the same weights,
-follow the gradient over their own texts, and the weight rows are averaged by how
-often each was touched.  Texts are scored in sparse numpy batches: a batch of
-tokens is a list of weight rows to add, never a dense feature matrix.
-
-Token counts cover all training texts.  The HEAD most frequent tokens have ids and
-are broadcast (a bounded table); the rest share one class, and their counts reach
-the texts through a join, so the vocabulary may grow without bound.  Classes come
-from what stands before a token: counts of preceding very frequent tokens,
-gathered from all training texts, clustered by a mixture of multinomials.
-
-Null and empty texts are one token, the end.  Repeated rows are scored alike.
-With no training texts every probability is uniform.
+the token within its class given the history, and both are softmaxes.  The class is
+a softmax over CLASSES classes.  Within a class the tokens are the leaves of a
+binary tree, and each inner node is a softmax over its two sides.  The logits add up
+one weight for each hashed feature of the history: the last token, the last two as a
+pair, and the token before the last (a skip feature).  Features hash the bytes of
+tokens, so the history knows every token, however rare.  All weights start where
+the model is the unigram model; gradient steps move them.
+
+Everything is learnt from training texts alone: counts, classes, trees, weights.
+The model is as large as the training tokens ask, within documented bounds: HEAD
+tokens have leaves of their own (a bounded table, broadcast), and all others, unknown
+ones included, share leaves by the shape of their last bytes.  Their counts reach the
+texts through a join, so the vocabulary may grow without bound.  Classes come from
+what stands before a token: counts of preceding very frequent tokens, gathered from
+all training texts, clustered by a mixture of multinomials.
+
+Training is distributed and synchronous.  Texts are dealt to shards by hash, a shard
+having about SHARD tokens at any input size.  In each of ROUNDS rounds its shards
+start from the same weights, follow the gradient over their own texts in the order of
+a hash, and the weights are averaged by how often each was touched.  So neither the
+partitions of the input nor the number of executors change the model, and the longest
+task does not grow.  Texts are scored in sparse numpy batches: a batch of tokens is a
+list of weights to add, never a dense feature matrix.
+
+Null and empty texts are one token, the end; a null id counts as a training text.
+Repeated rows are scored alike.  Very long texts are read whole; a text is one
+element of a batch.  Tokens of equal count are ordered by their bytes.  With no
+training texts every token has the share of an unknown one; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -30,21 +43,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, small_batches, text_of, utf8
+from .common import materialize, slices, text_of, utf8
 
 FOLDS, HELD_OUT = 5, 1
-#: Tokens with an id, of those the contexts that classes are made from, and classes.
-HEAD, CONTEXTS, CLASSES = 1 << 18, 48, 32
-#: Rows that are clustered at once.
+#: Most tokens with leaves of their own, least training count of one, and leaves that all others share.
+HEAD, LEAST, SHAPES = 1 << 18, 2, 1 << 10
+#: Contexts that classes are made from, classes, and classes that the most frequent tokens have for themselves.
+CONTEXTS, CLASSES, OWN = 48, 16, 2
+#: Items that are clustered at once.
 BLOCK = 1 << 14
-#: Classes that the most frequent tokens have for themselves (the end has one too, and the rest has one).
-OWN = 6
-#: Buckets of the three features, rate of the gradient steps, tokens of one step.
-BUCKETS, RATE, STEP = (1 << 13, 1 << 14, 1 << 13), 0.25, 1 << 12
-ROWS = sum(BUCKETS) + 1
+#: Rounds of training, tokens of a shard, least shards.
+ROUNDS, SHARD, SHARDS = 4, 1 << 21, 8
+#: Rates of the gradient steps (class, tree), what their divisors start from, and tokens of one step.
+RATE, TREE_RATE, PRIOR, TREE_PRIOR, STEP = 0.25, 0.3, 1.0, 4.0, 1 << 12
+#: Rows of a class feature and weights of the tree: one for so many training tokens, between two powers of two.
+ROW_TOKENS, ROW_LOG2 = 1 << 6, (12, 15)
+SLOT_TOKENS, SLOT_LOG2 = 1 << 1, (16, 21)
+#: Tree weights of one block on its way between tasks, which goes in half precision, and the scale of its averaging weights.
+SLOTS, SCALE = 1 << 12, 16
 #: Distinct tokens that a counting task holds before it sends them on.
 FLUSH = 250_000
 END = b""
+#: Odd factors of the feature hashes.
+MIX = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1)]
 
 
 def tokens_of(text: bytes) -> list[bytes]:
@@ -57,88 +78,113 @@ def held_out(ids: list) -> list[bool]:
     return [zlib.crc32(str(i).encode()) % FOLDS == HELD_OUT if i is not None else False for i in ids]
 
 
+def shape_of(token: bytes) -> int:
+    """The shared leaf of a token without one of its own."""
+    return zlib.crc32(token[-3:]) % SHAPES
+
+
+def hash_of(token: bytes) -> int:
+    return zlib.crc32(token) ^ 0x5BD1E995
+
+
 def _count(batches):
-    """(token, training count, count in all texts)."""
+    """(token, training count)."""
     from collections import Counter
 
-    train, rest = Counter(), Counter()
+    train = Counter()
 
     def flush():
-        keys = list(train.keys() | rest.keys())
-        a, b = [train[k] for k in keys], [rest[k] for k in keys]
+        out = pa.RecordBatch.from_arrays([pa.array(train.keys(), pa.binary()), pa.array(train.values(), pa.int64())], ["token", "c"])
         train.clear()
-        rest.clear()
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(a, pa.int64()), pa.array([x + y for x, y in zip(a, b, strict=True)], pa.int64())], ["token", "c", "every"])
+        return out
 
-    for batch in batches:
+    for batch in slices(batches):
         for out, text in zip(held_out(batch.column("id").to_pylist()), utf8(batch.column("text")), strict=True):
-            (rest if out else train).update(tokens_of(text))
-            if len(train) + len(rest) >= FLUSH:
-                yield flush()
-    if train or rest:
+            if not out:
+                train.update(tokens_of(text))
+                if len(train) >= FLUSH:
+                    yield flush()
+    if train:
         yield flush()
 
 
-class Head:
-    """The tokens with ids, by count and then bytes; id len(tokens) is all others."""
+class Items:
+    """The leaves: tokens of their own, by count and then bytes, then SHAPES shared
+    ones.  weight is what a leaf has of the total `whole`; share is, for a shared
+    leaf, what each of its tokens' c + 0.5 is divided by."""
 
-    def __init__(self, tokens: list[bytes], c: np.ndarray):
-        self.tokens, self.c = tokens, c.astype(np.float64)
+    def __init__(self, tokens: list[bytes], c: np.ndarray, types: np.ndarray, rest: np.ndarray):
+        self.tokens = tokens
+        self.share = rest + 0.5 * types + 0.5  # 0.5 for an unknown token
+        self.weight = np.concatenate([c + 0.5, self.share])
+        self.whole = float(self.weight.sum())
+        self.hashes = np.array([hash_of(t) for t in tokens] + [0] * SHAPES, np.uint32)
 
 
-def head_of(counts: DataFrame, most: int) -> Head:
-    """The most frequent tokens, `most` at most: all whose count in all texts
-    reaches a threshold, which a histogram of counts (of a few hundred rows) sets."""
-    octave = F.floor(F.log2("every") * 64)
-    bars = sorted(((r["b"], r["n"], r["least"]) for r in counts.groupBy(octave.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("every").alias("least")).collect()), reverse=True)
+def items_of(counts: DataFrame, most: int) -> Items:
+    """The most frequent tokens, `most` at most: all whose count reaches a threshold
+    (LEAST or more), which a histogram of counts of a few hundred rows sets."""
+    octave = F.floor(F.log2("c") * 64)
+    bars = sorted(((r["b"], r["n"], r["least"]) for r in counts.where(F.col("c") >= LEAST).groupBy(octave.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("least")).collect()), reverse=True)
     n, least = 0, None
     for _, k, low in bars:
         if n + k > most:
             break
         n, least = n + k, low
-    if least is None:
-        return Head([], np.zeros(0))
-    got = counts.where(F.col("every") >= least).toArrow()
-    tokens, c, every = got["token"].to_pylist(), got["c"].to_numpy(), got["every"].to_numpy()
-    order = sorted(range(len(tokens)), key=lambda i: (-every[i], tokens[i]))
-    return Head([tokens[i] for i in order], c[order])
+    tokens, c = [], np.zeros(0)
+    if least is not None:
+        got = counts.where(F.col("c") >= least).toArrow()
+        names, sizes = got["token"].to_pylist(), got["c"].to_numpy()
+        order = sorted(range(len(names)), key=lambda i: (-sizes[i], names[i]))
+        tokens, c = [names[i] for i in order], sizes[order].astype(np.float64)
+    others = counts if least is None else counts.where(F.col("c") < least)
+    shape = F.pmod(F.crc32(F.when(F.length("token") <= 3, F.col("token")).otherwise(F.substring("token", -3, 3))), F.lit(SHAPES))
+    types, rest = np.zeros(SHAPES), np.zeros(SHAPES)
+    for r in others.groupBy(shape.alias("s")).agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("c")).collect():
+        types[r["s"]], rest[r["s"]] = r["n"], r["c"]
+    return Items(tokens, c, types, rest)
 
 
 def _to_ids(shared):
+    """Items of each text, the hashes of tokens without a leaf of their own, and these tokens."""
+
     def task(batches):
-        tokens = shared.value
-        index = dict(zip(tokens, range(len(tokens)), strict=True))
-        other = len(tokens)
-        get = index.get
-        for batch in batches:
-            ids, tails, sizes = [], [], []
+        index = dict(zip(shared.value, range(len(shared.value)), strict=True))
+        other, get = len(index), index.get
+        for batch in slices(batches):
+            ids, hashes, tails, sizes = [], [], [], []
             for text in utf8(batch.column("text")):
                 words = tokens_of(text)
                 own = np.fromiter(map(get, words, repeat(other)), "<i4", len(words))
+                at = np.flatnonzero(own == other)
+                tail = [words[i] for i in at.tolist()]
+                own[at] += [shape_of(w) for w in tail] if tail else 0
                 ids.append(own.tobytes())
-                tails.append([words[i] for i in np.flatnonzero(own == other).tolist()])
+                hashes.append(np.array([hash_of(w) for w in tail], "<u4").tobytes())
+                tails.append(tail)
                 sizes.append(len(words))
             doc = batch.column("id")
-            yield pa.RecordBatch.from_arrays([doc, pa.array(held_out(doc.to_pylist())), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(tails, pa.list_(pa.binary()))], ["id", "held_out", "n_tokens", "ids", "tail"])
+            cols = [doc, pa.array(held_out(doc.to_pylist())), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(hashes, pa.binary()), pa.array(tails, pa.list_(pa.binary()))]
+            yield pa.RecordBatch.from_arrays(cols, ["id", "held_out", "n_tokens", "ids", "hashes", "tail"])
 
     return task
 
 
-def _before(n_head, ends):
-    """Counts of the two preceding tokens that are contexts, by token: rows (token
-    id, packed counts).  The end of a text is no context, so texts may be joined."""
+def _before(n_items, ends):
+    """Counts of the two preceding tokens that are contexts, by item: rows (item,
+    packed counts).  The end of a text is no context, so texts may be joined."""
 
     def task(batches):
-        table = np.zeros((n_head, CONTEXTS), np.int32)
+        table = np.zeros(n_items * CONTEXTS, np.int32)
         for batch in batches:
-            for ids, _, _ in _batches_of(batch.column("ids").to_pylist(), 1 << 16):
+            for ids, _, _ in _joined_texts(zip(batch.column("ids").to_pylist(), repeat(b"")), 1 << 16):
                 for gap in (1, 2):
                     a, b = ids[:-gap], ids[gap:]
-                    ok = (a < CONTEXTS) & (b < n_head)
+                    ok = a < CONTEXTS
                     for e in ends:  # the end of the text before
                         ok &= (a != e) & (ids[1:-1] != e if gap == 2 else True)
-                    if ok.any():
-                        np.add.at(table.ravel(), b[ok].astype(np.int64) * CONTEXTS + a[ok], 1)
+                    np.add.at(table, b[ok] * CONTEXTS + a[ok], 1)
+        table = table.reshape(n_items, CONTEXTS)
         rows = np.flatnonzero(table.any(1))
         for at in range(0, len(rows), 20_000):
             part = rows[at : at + 20_000]
@@ -147,8 +193,8 @@ def _before(n_head, ends):
     return task
 
 
-def _summed(dtype):
-    """Rows come sorted; the arrays of a row add up."""
+def _summed(decode):
+    """Rows come sorted by row and then shard; the arrays of a row add up in that order."""
 
     def task(batches):
         row = total = None
@@ -162,14 +208,14 @@ def _summed(dtype):
 
         for batch in batches:
             for r, d in zip(batch.column("row").to_pylist(), batch.column("data").to_pylist(), strict=True):
-                d = np.frombuffer(d, dtype)
+                d = decode(r, d)
                 if r == row:
                     total = total + d
                     continue
                 if row is not None:
                     done_r.append(row)
                     done_t.append(total.tobytes())
-                    if len(done_r) >= 5000:
+                    if len(done_r) >= 1000:
                         yield flush()
                 row, total = r, d
         if row is not None:
@@ -180,23 +226,18 @@ def _summed(dtype):
     return task
 
 
-def _gather(rows: DataFrame, dtype, n: int, width: int) -> np.ndarray:
-    """The sums of the tasks' arrays: n rows at most, a bound that no input moves."""
+def _gather(rows: DataFrame, order: list[str], decode, dtype):
+    """(row, sum of the tasks' arrays): as many rows as the model has, which is bounded."""
     parts = max(1, min(64, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    total = rows.repartition(parts, "row").sortWithinPartitions("row").mapInArrow(_summed(dtype), "row long, data binary")
-    out = np.zeros((n, width), dtype)
-    for r in total.toLocalIterator():
-        out[r["row"]] = np.frombuffer(r["data"], dtype)
-    return out
+    sorted_ = rows.repartition(parts, "row").sortWithinPartitions(*order).select("row", "data")
+    for r in sorted_.mapInArrow(_summed(decode), "row long, data binary").toLocalIterator():
+        yield r["row"], np.frombuffer(r["data"], dtype)
 
 
-def classes_of(head: Head, before: np.ndarray, rounds: int = 12) -> np.ndarray:
-    """The class of each token with an id, and last of the others: CLASSES - 2 for
-    the end, CLASSES - 1 for those without an id."""
-    n, free = len(before), CLASSES - 2 - OWN
-    out = np.full(len(head.tokens) + 1, CLASSES - 1, np.int64)
-    if not n:
-        return out
+def classes_of(items: Items, before: np.ndarray, rounds: int = 12) -> np.ndarray:
+    """The class of each item: some of the most frequent have one for themselves, the
+    end has CLASSES - 1, and all others are clustered by their contexts."""
+    n, free = len(before), CLASSES - 1 - OWN
     share = before.sum(0) + 1.0
     share /= share.sum()
     # mixture of multinomials, started from the rows of evenly spaced frequent tokens
@@ -214,193 +255,317 @@ def classes_of(head: Head, before: np.ndarray, rounds: int = 12) -> np.ndarray:
         sizes = np.bincount(label, minlength=len(picks)) + 1.0
         theta = np.log((sums + 20 * share) / (sums.sum(1, keepdims=True) + 20))
         prior = np.log(sizes / sizes.sum())
-    out[:n] = OWN + label
-    own = [i for i in range(n) if head.tokens[i] != END][:OWN]
+    out = OWN + label
+    own = [i for i, t in enumerate(items.tokens[: OWN + 1]) if t != END][:OWN]
     out[own] = range(len(own))
-    if END in head.tokens:
-        out[head.tokens.index(END)] = CLASSES - 2
+    if END in items.tokens:
+        out[items.tokens.index(END)] = CLASSES - 1
     return out
 
 
-def features(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Weight rows of each position: last, pair, skip and bias.  ids are joined
-    texts, starts marks where each begins; before a text stand ids of -1."""
-    p1, p2 = np.full(len(ids), -1, np.int64), np.full(len(ids), -1, np.int64)
-    p1[1:], p2[2:] = ids[:-1], ids[:-2]
-    p1[starts] = -1
-    p2[starts] = -1
-    second = starts + 1
-    p2[second[second < len(ids)]] = -1
-    mix = np.uint64(0x9E3779B97F4A7C15)
-    hash_ = lambda x, bits: ((x.astype(np.uint64) + np.uint64(2)) * mix >> np.uint64(64 - bits)).astype(np.int64)
-    b1, b2, b3 = (int(np.log2(b)) for b in BUCKETS)
-    with np.errstate(over="ignore"):
-        pair = (p1.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) ^ p2.astype(np.uint64)
-        rows = np.stack([hash_(p1, b1), hash_(pair, b2) + BUCKETS[0], hash_(p2, b3) + BUCKETS[0] + BUCKETS[1]])
-    return rows
-
-
-def logits(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Logits of the classes at each position, the largest 0."""
-    z = weights[rows[0]]
-    for r in rows[1:]:
-        z += weights[r]
-    z += weights[-1]
-    z -= z.max(1, keepdims=True)
-    return z
-
-
-def log_probability(weights: np.ndarray, rows: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Natural log probability of class y at each position."""
-    z = logits(weights, rows)
-    own = z[np.arange(len(y)), y]
-    return own - np.log(np.exp(z, out=z).sum(1))
-
-
-def _batches_of(raws, most=STEP):
-    """Ids of joined texts, about `most` tokens or one text at a time, starts and sizes."""
-    held, n = [], 0
-    for raw in raws:
-        held.append(np.frombuffer(raw, "<i4").astype(np.int64))
-        n += len(held[-1])
+class Tree:
+    """A binary tree over the items of each class.  first and depth give an item's
+    way down; node and side the nodes on it; bias the logit of side 1 at each node,
+    so that with no other weights a leaf has its share of the class's weight."""
+
+    def __init__(self, label: np.ndarray, weight: np.ndarray):
+        n = len(label)
+        order = np.lexsort((np.arange(n), label))  # items come by count, so alike counts stand together
+        total = np.append(0.0, np.cumsum(weight[order]))
+        edges = np.flatnonzero(np.diff(label[order], prepend=-1))
+        low, high = edges, np.append(edges[1:], n)
+        ways, bias, n_nodes = [], [], 0
+        while len(low):
+            open_ = high - low > 1
+            low, high = low[open_], high[open_]
+            if not len(low):
+                break
+            half = np.searchsorted(total, (total[low] + total[high]) / 2)
+            mid = np.clip(half, low + 1, high - 1)
+            bias.append(np.log((total[high] - total[mid]) / (total[mid] - total[low])))
+            at = np.concatenate([np.arange(a, b) for a, b in zip(low, high, strict=True)])
+            node = np.repeat(np.arange(n_nodes, n_nodes + len(low)), high - low)
+            ways.append((order[at], node, at >= np.repeat(mid, high - low)))
+            n_nodes += len(low)
+            low, high = np.stack([low, mid], 1).ravel(), np.stack([mid, high], 1).ravel()
+        item, node, side = (np.concatenate(x) if ways else np.zeros(0, np.int64) for x in (zip(*ways, strict=True) if ways else ((), (), ())))
+        by = np.argsort(item, kind="stable")
+        self.node, self.side = node[by].astype(np.uint32), side[by].astype(np.float32)
+        self.depth = np.bincount(item, minlength=n).astype(np.int64)
+        self.first = np.cumsum(self.depth) - self.depth
+        self.bias = (np.concatenate(bias) if bias else np.zeros(1)).astype(np.float32)
+
+    def way(self, y: np.ndarray):
+        """Which of y's positions, node and side of every decision."""
+        k = self.depth[y]
+        at = np.arange(k.sum()) + np.repeat(self.first[y] - (np.cumsum(k) - k), k)
+        return k, self.node[at], self.side[at]
+
+
+class Model:
+    """Class weights (a row a feature and the bias last), tree weights, labels and tree."""
+
+    def __init__(self, items: Items, label: np.ndarray, n_train: int):
+        size = lambda tokens, bounds: int(np.clip(np.round(np.log2(max(1, n_train) / tokens)), *bounds))
+        self.row_log2, self.slot_log2 = size(ROW_TOKENS, ROW_LOG2), size(SLOT_TOKENS, SLOT_LOG2)
+        self.label, self.hashes, self.n_head = label, items.hashes, len(items.tokens)
+        self.tree = Tree(label, items.weight)
+        self.w = np.zeros((3 * (1 << self.row_log2) + 1, CLASSES), np.float32)
+        mass = np.bincount(label, items.weight, CLASSES)
+        # a class without tokens has no probability
+        self.w[-1] = np.where(mass > 0, np.log(np.maximum(mass, 1e-300) / items.whole), -1e4)
+        self.t = np.zeros(1 << self.slot_log2, np.float32)
+
+    def history(self, ids: np.ndarray, tail: np.ndarray, starts: np.ndarray):
+        """Hashes of the last token and of the one before it, at each position; before
+        a text stands 0."""
+        h = self.hashes[ids]
+        h[ids >= self.n_head] = tail
+        p1, p2 = np.zeros(len(h), np.uint32), np.zeros(len(h), np.uint32)
+        p1[1:], p2[2:] = h[:-1], h[:-2]
+        p1[starts] = 0
+        p2[starts] = 0
+        second = starts + 1
+        p2[second[second < len(h)]] = 0
+        return p1, p2
+
+    def rows(self, p1, p2) -> np.ndarray:
+        """Class weight rows of each position: last, pair and skip."""
+        down, n = np.uint32(32 - self.row_log2), 1 << self.row_log2
+        hash_ = lambda x: (((x ^ (x >> np.uint32(15))) * MIX[0]) >> down).astype(np.int64)
+        return np.stack([hash_(p1), hash_((p1 * MIX[2]) ^ p2) + n, hash_(p2 * MIX[4]) + 2 * n])
+
+    def slots(self, p1, p2, k, node) -> list[np.ndarray]:
+        """Tree weights of each decision: last, pair and skip, each with the node."""
+        down, n = np.uint32(32 - self.slot_log2), node * MIX[1]
+        hash_ = lambda x: ((((x ^ n) ^ ((x ^ n) >> np.uint32(15))) * MIX[2]) >> down).astype(np.int64)
+        return [hash_(np.repeat(x, k)) for x in (p1 * MIX[0], (p1 * MIX[3]) ^ (p2 * MIX[4]), p2 * MIX[2] + MIX[1])]
+
+    def logits(self, rows: np.ndarray) -> np.ndarray:
+        """Logits of the classes at each position, the largest 0."""
+        z = self.w[rows[0]]
+        z += self.w[rows[1]]
+        z += self.w[rows[2]]
+        z += self.w[-1]
+        z -= z.max(1, keepdims=True)
+        return z
+
+    def decide(self, slots, node) -> np.ndarray:
+        """Logits of side 1 at each decision."""
+        z = self.tree.bias[node]
+        for s in slots:
+            z += self.t[s]
+        return z
+
+    def log_probability(self, ids, p1, p2) -> np.ndarray:
+        """Natural log probability of each item."""
+        z = self.logits(self.rows(p1, p2))
+        own = z[np.arange(len(ids)), self.label[ids]].astype(np.float64)
+        out = own - np.log(np.exp(z, out=z).sum(1).astype(np.float64))
+        k, node, side = self.tree.way(ids)
+        z = self.decide(self.slots(p1, p2, k, node), node)
+        z = np.where(side > 0, -z, z)  # log(1 + exp(z)), without overflow
+        loss = np.maximum(z, 0) + np.log1p(np.exp(-np.abs(z)))
+        total = np.append(0.0, np.cumsum(loss, dtype=np.float64))
+        ends = np.cumsum(k)
+        return out - (total[ends] - total[ends - k])
+
+
+def _joined_texts(texts, most=STEP):
+    """Items and tail hashes of joined texts, about `most` tokens or one text at a time, and starts."""
+    ids, tails, n = [], [], 0
+    for raw, tail in texts:
+        ids.append(np.frombuffer(raw, "<i4").astype(np.int64))
+        tails.append(np.frombuffer(tail, "<u4"))
+        n += len(ids[-1])
         if n >= most:
-            yield _joined(held)
-            held, n = [], 0
-    if held:
-        yield _joined(held)
+            yield _joined(ids, tails)
+            ids, tails, n = [], [], 0
+    if ids:
+        yield _joined(ids, tails)
+
+
+def _joined(ids, tails):
+    sizes = np.array([len(x) for x in ids])
+    return np.concatenate(ids), np.concatenate(tails), np.cumsum(sizes) - sizes
+
+
+class Learner:
+    """One shard's way along the gradient, from a model's weights.  A class row's
+    step shrinks with its squared gradients, a tree weight's with the curvature it
+    has seen; both also say how much a shard knows of a weight when shards average."""
+
+    def __init__(self, model: Model):
+        self.m, self.start_w, self.start_t = model, model.w, model.t
+        self.w, self.t = model.w.copy(), model.t.copy()
+        self.square, self.bend = np.full(len(self.w), PRIOR, np.float32), np.full(len(self.t), TREE_PRIOR, np.float32)
+        self.column = np.arange(CLASSES)
+
+    def text(self, ids, tail, starts) -> None:
+        m = self.m
+        m.w, m.t = self.w, self.t
+        p1, p2 = m.history(ids, tail, starts)
+        for at in range(0, len(ids), STEP):
+            cut = slice(at, at + STEP)
+            self._step(ids[cut], p1[cut], p2[cut])
+        m.w, m.t = self.start_w, self.start_t
+
+    def _step(self, ids, p1, p2) -> None:
+        m, y = self.m, self.m.label[ids]
+        rows = m.rows(p1, p2)
+        g = m.logits(rows)
+        np.exp(g, out=g)
+        g /= g.sum(1, keepdims=True)
+        g[np.arange(len(y)), y] -= 1
+        norm = np.einsum("ij,ij->i", g, g)
+        flat = self.w.ravel()
+        for r in rows:
+            np.add.at(self.square, r, norm)
+        for r in rows:
+            step = g * (-RATE / np.sqrt(self.square[r]))[:, None]
+            np.add.at(flat, (r[:, None] * CLASSES + self.column).ravel(), step.ravel())
+        k, node, side = m.tree.way(ids)
+        slots = m.slots(p1, p2, k, node)
+        p = 1 / (1 + np.exp(-m.decide(slots, node)))
+        bend, e = p - p * p, (side - p) * np.float32(TREE_RATE)
+        for s in slots:
+            np.add.at(self.bend, s, bend)
+        for s in slots:
+            np.add.at(self.t, s, e / self.bend[s])
+
+    def changes(self):
+        """(row, packed sums): class weight rows, then blocks of tree weights, each
+        change times its weight in the average, and these weights."""
+        known = self.square - np.float32(PRIOR)
+        rows = np.flatnonzero(known)
+        data = np.concatenate([(self.w[rows] - self.start_w[rows]) * known[rows, None], known[rows, None]], 1)
+        yield from ((r, d.tobytes()) for r, d in zip(rows.tolist(), data, strict=True))
+        change, known = (self.t - self.start_t).astype(np.float16), ((self.bend - np.float32(TREE_PRIOR)) / SCALE).astype(np.float16)
+        for at in range(0, len(change), SLOTS):
+            if known[at : at + SLOTS].any():
+                yield len(self.w) + at // SLOTS, change[at : at + SLOTS].tobytes() + known[at : at + SLOTS].tobytes()
+
+
+def _decode(n: int):
+    """Packed sums of row r, n being the number of class weight rows."""
+
+    def decode(r, data):
+        if r < n:
+            return np.frombuffer(data, np.float32)
+        change, known = np.frombuffer(data, np.float16).astype(np.float32).reshape(2, -1)
+        return np.concatenate([change * known, known])
+
+    return decode
 
 
-def _joined(held):
-    sizes = np.array([len(x) for x in held])
-    return np.concatenate(held), np.cumsum(sizes) - sizes, sizes
+def _gradient(shared):
+    def task(batches):
+        model = shared.value
 
+        def rows():
+            for batch in batches:
+                yield from zip(*(batch.column(c).to_pylist() for c in ("shard", "ids", "hashes")), strict=True)
 
-def _gradient(shared):
-    """One task's way along the gradient: changed weight rows and how often each was touched."""
+        from itertools import groupby
 
-    def task(batches):
-        raw, label = shared.value
-        start = np.frombuffer(raw, np.float32).reshape(ROWS, CLASSES)
-        w, label = start.copy(), np.frombuffer(label, np.int64)
-        square, touched = np.full(ROWS, 1e-3, np.float32), np.zeros(ROWS, np.float64)
-        for batch in batches:
-            for ids, starts, _ in _batches_of(batch.column("ids").to_pylist()):
-                every, y_all = features(ids, starts), label[ids]
-                for at in range(0, len(ids), STEP):
-                    rows, y = every[:, at : at + STEP], y_all[at : at + STEP]
-                    g = logits(w, rows)
-                    np.exp(g, out=g)
-                    g /= g.sum(1, keepdims=True)
-                    g[np.arange(len(y)), y] -= 1
-                    norm = np.einsum("ij,ij->i", g, g)
-                    flat = rows.astype(np.uint16).ravel()  # all features at once: their rows are apart, and 16 bits sort by radix
-                    order = np.argsort(flat, kind="stable")
-                    sorted_ = flat[order]
-                    cut = np.flatnonzero(np.diff(sorted_, prepend=-1))
-                    hit = sorted_[cut]
-                    at_token = order % len(y)
-                    total = np.add.reduceat(g[at_token], cut, 0)
-                    square[hit] += np.add.reduceat(norm[at_token], cut)
-                    w[hit] -= (RATE / np.sqrt(square[hit]))[:, None] * total
-                    touched[hit] += np.diff(np.append(cut, len(flat)))
-                    total = g.sum(0)
-                    square[-1] += norm.sum()
-                    w[-1] -= RATE / np.sqrt(square[-1]) * total
-                    touched[-1] += len(y)
-        rows = np.flatnonzero(touched)
-        if len(rows):
-            # the sum over tasks of touched * w, and of touched, gives the average
-            data = np.concatenate([w[rows] * touched[rows, None], touched[rows, None]], 1).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(rows.astype(np.int64)), pa.array([x.tobytes() for x in data], pa.binary())], ["row", "data"])
+        for shard, texts in groupby(rows(), lambda x: x[0]):  # whatever the batches, a shard's steps are the same
+            learner = Learner(model)
+            for ids, tail, starts in _joined_texts((t[1:] for t in texts), 4 * STEP):
+                learner.text(ids, tail, starts)
+            made = list(learner.changes())
+            for at in range(0, len(made), 1000):
+                r, d = zip(*made[at : at + 1000], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()), pa.array([shard] * len(r), pa.int32()), pa.array(d, pa.binary())], ["row", "shard", "data"])
 
     return task
 
 
-def train(texts: DataFrame, label: np.ndarray, rounds: int) -> np.ndarray:
-    """Weights from training texts (column ids).  Each round sees its share of the
-    texts, and starts from the average of the round before."""
+def train(texts: DataFrame, model: Model, n_train: int, rounds: int = ROUNDS) -> None:
+    """Moves the model's weights along the gradient over texts (id, ids, hashes).
+    Each round has shards of its own and starts from the average of the round before."""
     spark = texts.sparkSession
-    w = np.zeros((ROWS, CLASSES), np.float32)
-    w[-1, np.bincount(label, minlength=CLASSES) == 0] = -1e4  # a class without tokens has no probability
+    shards = -(-max(SHARDS, -(-n_train // SHARD)) // rounds) * rounds
+    dealt = texts.select(F.pmod(F.xxhash64("id", "ids"), F.lit(shards)).cast("int").alias("shard"), F.xxhash64("ids", "hashes").alias("h"), "ids", "hashes")
+    n = len(model.w)
     for k in range(rounds):
-        part = texts if rounds == 1 else texts.where(F.pmod(F.xxhash64("ids"), F.lit(rounds)) == k)
-        shared = spark.sparkContext.broadcast((w.tobytes(), label.tobytes()))
-        # as many tasks as the cluster has slots, a few times over, so that weights do not multiply with the input
-        few = part.select("ids").coalesce(4 * spark.sparkContext.defaultParallelism)
-        got = _gather(few.mapInArrow(_gradient(shared), "row long, data binary"), np.float64, ROWS, CLASSES + 1)
-        seen = got[:, -1] > 0
-        w[seen] = (got[seen, :-1] / got[seen, -1:]).astype(np.float32)
-    return w
-
-
-def unigrams(c: np.ndarray, label: np.ndarray, whole: float) -> tuple[np.ndarray, np.ndarray, float]:
-    """log10 of each id's share of all tokens and of its class, 0 for the id of the
-    others, and the weight of class CLASSES - 1: that of its tokens with ids and of
-    all without, an unknown one included, so its parts have one denominator."""
-    n, weight = len(c), c + 0.5
-    in_class = np.bincount(label[:n], weights=weight, minlength=CLASSES).astype(np.float64)
-    # ids that no training text has are not in whole
-    in_class[-1] += whole - weight[c > 0].sum()
-    return np.append(np.log10(weight / whole), 0.0), np.append(np.log10(weight / in_class[label[:n]]), 0.0), float(in_class[-1])
+        shared = spark.sparkContext.broadcast(model)
+        part = dealt.where(F.pmod("shard", F.lit(rounds)) == k).repartition(shards // rounds, "shard").sortWithinPartitions("shard", "h", "ids")
+        moved = part.select("shard", "ids", "hashes").mapInArrow(_gradient(shared), "row long, shard int, data binary")
+        for r, total in _gather(moved, ["row", "shard"], _decode(n), np.float32):
+            if r < n:
+                model.w[r] += total[:-1] / total[-1]
+            else:
+                change, known = total.reshape(2, -1)
+                model.t[(r - n) * SLOTS : (r - n + 1) * SLOTS] += change / np.maximum(known, 1e-30)
+        shared.unpersist()
 
 
 def _score(shared):
-    """Sums over each text: what its head tokens give, and what the class of the others gives."""
+    """Sums over each text: the base of its items with leaves of their own, and the
+    model's log10 probability of all leaves, shared ones divided among their tokens."""
 
     def task(batches):
-        raw, label, base, inner, known = shared.value
-        w, label = np.frombuffer(raw, np.float32).reshape(ROWS, CLASSES), np.frombuffer(label, np.int64)
-        base, inner, known = (np.frombuffer(x, np.float64) for x in (base, inner, known))
-        for batch in batches:
+        model, base, inner = shared.value
+        for batch in slices(batches):
             b, s, k = [], [], []
-            for ids, starts, _ in _batches_of(batch.column("ids").to_pylist()):
-                model = inner[ids]
-                rows = features(ids, starts)
+            for ids, tail, starts in _joined_texts(zip(batch.column("ids").to_pylist(), batch.column("hashes").to_pylist(), strict=True), 4 * STEP):
+                p1, p2 = model.history(ids, tail, starts)
+                own = inner[ids]
                 for at in range(0, len(ids), 4 * STEP):
-                    y = label[ids[at : at + 4 * STEP]]
-                    model[at : at + len(y)] += log_probability(w, rows[:, at : at + 4 * STEP], y) / np.log(10)
-                s += np.add.reduceat(model, starts).tolist()
+                    cut = slice(at, at + 4 * STEP)
+                    own[cut] += model.log_probability(ids[cut], p1[cut], p2[cut]) / np.log(10)
+                s += np.add.reduceat(own, starts).tolist()
                 b += np.add.reduceat(base[ids], starts).tolist()
-                k += np.add.reduceat(known[ids], starts).tolist()
+                k += np.add.reduceat((ids < model.n_head).astype(np.int64), starts).tolist()
             keep = [batch.column(c) for c in ("uid", "id", "held_out", "n_tokens")]
-            yield pa.RecordBatch.from_arrays([*keep, pa.array([int(x) for x in k], pa.int64()), pa.array(b, pa.float64()), pa.array(s, pa.float64())], ["uid", "id", "held_out", "n_tokens", "k", "b", "s"])
+            yield pa.RecordBatch.from_arrays([*keep, pa.array(k, pa.int64()), pa.array(b, pa.float64()), pa.array(s, pa.float64())], ["uid", "id", "held_out", "n_tokens", "k", "b", "s"])
 
     return task
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", head_rows: int = HEAD, rounds: int = 1) -> DataFrame:
+def fit(made: DataFrame, items: Items, n_train: int, rounds: int) -> Model:
+    """Classes, trees and weights from the training rows of made."""
+    learn = made.where("not held_out")
+    n = len(items.weight)
+    ends = frozenset(i for i, t in enumerate(items.tokens[:CONTEXTS]) if t == END)
+    before = np.zeros((n, CONTEXTS), np.int32)
+    for r, total in _gather(learn.select("ids").mapInArrow(_before(n, ends), "row long, data binary"), ["row"], lambda _, d: np.frombuffer(d, np.int32), np.int32):
+        before[r] = total
+    model = Model(items, classes_of(items, before), n_train)
+    del before
+    train(learn, model, n_train, rounds)
+    return model
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", head_rows: int = HEAD, rounds: int = ROUNDS) -> DataFrame:
     """One row a document: id_col, held_out, n_tokens, n_known, train_tokens,
     base_score and score, both log10 probabilities of the whole text."""
     spark = docs.sparkSession
-    small_batches(spark)
     slim = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    counts = slim.mapInArrow(_count, "token binary, c long, every long").groupBy("token").agg(F.sum("c").alias("c"), F.sum("every").alias("every"))
-    counts = materialize(counts, "tokens")
-    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
+    counts = materialize(slim.mapInArrow(_count, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c")), "tokens")
+    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     n_train, v = int(total[0]), int(total[1])
-    head = head_of(counts, head_rows)
-    n = len(head.tokens)
-    shared = spark.sparkContext.broadcast(head.tokens)
-    fields = [slim.schema["id"], T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("tail", T.ArrayType(T.BinaryType()))]
-    made = materialize(slim.mapInArrow(_to_ids(shared), T.StructType(fields)).withColumn("uid", F.monotonically_increasing_id()), "ids")
-    learn = made.where("not held_out").select("ids")
-    few = learn.coalesce(4 * spark.sparkContext.defaultParallelism)
-    before = _gather(few.mapInArrow(_before(n, frozenset(i for i, t in enumerate(head.tokens[:CONTEXTS]) if t == END)), "row long, data binary"), np.int32, max(1, n), CONTEXTS)[:n]
-    label = classes_of(head, before)
-    w = train(learn, label, rounds)
+    items = items_of(counts, head_rows)
+    n = len(items.tokens)
+    shared = spark.sparkContext.broadcast(items.tokens)
+    id_field = slim.schema["id"]
+    kind = lambda **c: T.StructType([id_field if k == "id" else T.StructField(k, t) for k, t in c.items()])
+    made = kind(id=None, held_out=T.BooleanType(), n_tokens=T.LongType(), ids=T.BinaryType(), hashes=T.BinaryType(), tail=T.ArrayType(T.BinaryType()))
+    made = materialize(slim.mapInArrow(_to_ids(shared), made).withColumn("uid", F.monotonically_increasing_id()), "ids")
+    model = fit(made, items, n_train, rounds)
     whole = n_train + 0.5 * (v + 1)
-    base, inner, rest = unigrams(head.c, label, whole)
-    known = np.append((head.c > 0).astype(np.float64), 0.0)
-    model = spark.sparkContext.broadcast((w.tobytes(), label.tobytes(), base.tobytes(), inner.tobytes(), known.tobytes()))
-    out = [T.StructField("uid", T.LongType()), fields[0], fields[1], fields[2], T.StructField("k", T.LongType()), T.StructField("b", T.DoubleType()), T.StructField("s", T.DoubleType())]
-    first = made.select("uid", "id", "held_out", "n_tokens", "ids").mapInArrow(_score(model), T.StructType(out))
-    # The tokens without an id: none of them holds more than one token in HEAD of the corpus.
-    tail = made.select("uid", F.explode("tail").alias("token")).join(counts.select("token", "c"), "token", "left")
+    base = np.append(np.log10(items.weight[:n] / whole), np.zeros(SHAPES))
+    inner = np.append(np.zeros(n), -np.log10(items.share))
+    shared = spark.sparkContext.broadcast((model, base, inner))
+    out = kind(uid=T.LongType(), id=None, held_out=T.BooleanType(), n_tokens=T.LongType(), k=T.LongType(), b=T.DoubleType(), s=T.DoubleType())
+    first = materialize(made.select("uid", "id", "held_out", "n_tokens", "ids", "hashes").mapInArrow(_score(shared), out), "scores")
+    # The tokens without a leaf of their own: none of them holds more than one token in HEAD of the corpus.
+    tail = made.select("uid", F.explode("tail").alias("token")).join(counts, "token", "left")
     c = F.coalesce(F.col("c"), F.lit(0))
-    tail = tail.groupBy("uid").agg(F.sum(F.log10(c + 0.5)).alias("logs"), F.count(F.lit(1)).alias("m"), F.count(F.when(c > 0, 1)).alias("mk"))
+    tail = tail.groupBy("uid").agg(F.sum(F.log10(c + 0.5)).alias("logs"), F.count(F.lit(1)).alias("m"), F.count("c").alias("mk"))
     every = first.join(tail, "uid", "left")
     m, logs = F.coalesce("m", F.lit(0)), F.coalesce("logs", F.lit(0.0))
     return every.select(
         F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("k") + F.coalesce("mk", F.lit(0))).alias("n_known"), F.lit(n_train).cast("long").alias("train_tokens"),
-        (F.col("b") + logs - m * float(np.log10(whole))).alias("base_score"), (F.col("s") + logs - m * float(np.log10(rest))).alias("score"),
+        (F.col("b") + logs - m * float(np.log10(whole))).alias("base_score"), (F.col("s") + logs).alias("score"),
     )

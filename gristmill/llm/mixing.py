@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WS, hot_join, materialize, small_batches, text_of
+from .common import WS, hot_join, materialize, text_of
 
 WEIGHTS, MOST = (1, 2, 3), 3
 #: Mean documents of a block.
@@ -117,7 +117,6 @@ def sizes_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row a document: id_col, h (xxhash64 of the text), size, source_size,
     target (of its source), taken (words) and copies."""
-    small_batches(docs.sparkSession, 10_000)
     key = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("key")
     rows = materialize(sizes_of(docs, id_col, text_col, source_col).withColumn("uid", F.monotonically_increasing_id()).withColumn("key", key), "sizes")
     sources = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n")))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, text_of, utf8
+from .common import slices, text_of, utf8
 
 # The base kinds, in the order in which they are listed.
 BASE = ("assign", "access", "hex")
@@ -119,7 +119,6 @@ def render(spans) -> str:
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: id_col, base and spans, arrays of (kind, start, end)."""
-    small_batches(docs.sparkSession)
     slim = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 

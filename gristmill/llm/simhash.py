@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_ROWS, discard, hot_join, keep_rows, materialize, small_batches, text_of, utf8
+from .common import BROADCAST_ROWS, discard, hot_join, keep_rows, materialize, slices, text_of, utf8
 
 SHINGLE, SEED, BUDGET = 4, 42, 4
 #: Budgets within the first 32 bits of each trie, by rotation.
@@ -64,11 +64,10 @@ def simhash(text: bytes) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, h (xxhash64 of the text) and fp of every row."""
-    small_batches(docs.sparkSession)
     slim = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("h"), text_of(text_col).alias("text"))
 
     def task(batches):
-        for batch in batches:
+        for batch in slices(batches):
             fps = np.array([simhash(x) for x in utf8(batch.column("text"))], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("h"), pa.array(fps, pa.int64())], ["id", "h", "fp"])
 
@@ -171,7 +170,7 @@ def walk(a: np.ndarray, b: np.ndarray, same: bool, depth: int, half_budget: int)
 
 def _walk_rows(half_budgets, depth):
     def task(batches):
-        for batch in batches:
+        for batch in slices(batches, 64):
             for r, a, b, same in zip(batch.column("r").to_pylist(), batch.column("xs").to_pylist(), batch.column("ys").to_pylist(), batch.column("same").to_pylist(), strict=True):
                 xs = np.sort(np.array(a, np.int64).view(np.uint64))
                 ys = xs if same else np.sort(np.array(b, np.int64).view(np.uint64))
@@ -212,9 +211,7 @@ def trie_links(fps: DataFrame) -> DataFrame:
     rows = pairs.select("r", "node", "chunk", "node2", "chunk2").join(blocks, ["r", "node", "chunk"])
     rows = rows.join(blocks.select("r", F.col("node").alias("node2"), F.col("chunk").alias("chunk2"), F.col("xs").alias("ys")), ["r", "node2", "chunk2"])
     rows = rows.select("r", "xs", F.when((F.col("node") != F.col("node2")) | (F.col("chunk") != F.col("chunk2")), F.col("ys")).otherwise(F.array().cast("array<long>")).alias("ys"), ((F.col("node") == F.col("node2")) & (F.col("chunk") == F.col("chunk2"))).alias("same"))
-    small_batches(fps.sparkSession, 64)
     links = materialize(rows.mapInArrow(_walk_rows(HALF_BUDGETS, depth), "u long, v long").distinct(), "links")
-    small_batches(fps.sparkSession)
     return links
 
 

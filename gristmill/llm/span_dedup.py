@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_ROWS, hot_join, materialize, small_batches, text_of, utf8
+from .common import BROADCAST_ROWS, hot_join, materialize, slices, text_of, utf8
 
 PIECES, WORDS = 3, 20
 CUT = 6
@@ -227,7 +227,6 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row a document: id_col, n_sentences, n_removed, kept_sha256 and text
     without the removed sentences.  Texts that lose nothing are never shuffled as
     long as the ids of those that do are few enough to broadcast."""
-    small_batches(docs.sparkSession)
     slim = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("h"), text_of(text_col).alias("text"))
     long = T.LongType()
     sent = slim.mapInArrow(_sent, T.StructType([slim.schema["id"], T.StructField("h", long), T.StructField("h1", long), T.StructField("h2", long)]))

@@ -41,68 +41,98 @@ def test_lm_base_scores(spark, head):
     assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in got)
 
 
-def test_lm_probabilities_add_up_to_one():
-    rng = np.random.default_rng(1)
-    w = rng.normal(size=(maxent.ROWS, maxent.CLASSES)).astype(np.float32)
-    f = maxent.features(np.array([5, 7, 9, 2, 4]), np.array([0, 3]))
-    p = np.exp([maxent.log_probability(w, f, np.full(5, c)) for c in range(maxent.CLASSES)]).sum(0)
-    assert np.allclose(p, 1, atol=1e-4)
-    # the second text's features do not see the first
-    assert (maxent.features(np.array([2, 4]), np.array([0]))[:, :2] == f[:, 3:]).all()
-
+def lm_model(seed=1, n=300, head=200):
+    """A model over n leaves of Zipf counts, with random weights."""
+    rng = np.random.default_rng(seed)
+    c = np.sort(1 + 1000 / np.arange(1, head + 1))[::-1].round()
+    items = maxent.Items([b"t%d" % i for i in range(head)], c, rng.integers(0, 3, maxent.SHAPES).astype(float), rng.integers(0, 9, maxent.SHAPES).astype(float))
+    model = maxent.Model(items, rng.integers(0, maxent.CLASSES, head + maxent.SHAPES), 10_000)
+    model.w[:-1] = rng.normal(size=model.w[:-1].shape)
+    model.t[:] = rng.normal(size=model.t.shape)
+    return items, model
 
-def test_lm_tokens_of_each_class_add_up_to_one(spark, monkeypatch):
-    labels, classes_of = [], maxent.classes_of
 
-    def spy(*args):
-        label = classes_of(*args)
-        label[50:] = maxent.CLASSES - 1  # tokens with ids beside those without
-        labels.append(label)
-        return label
-
-    monkeypatch.setattr(maxent, "classes_of", spy)
-    monkeypatch.setattr(maxent, "train", lambda *_: np.zeros((maxent.ROWS, maxent.CLASSES), np.float32))
-    rng = random.Random(9)
-    vocabulary = [f"w{k}" for k in range(300)]
-    test = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 5 == 1]
-    learn = [i for i in range(2000) if i not in test]
-    data = [(learn.pop(), " ".join(rng.choices(vocabulary, [1 / (k + 1) for k in range(300)], k=50))) for _ in range(100)]
-    data += [(learn.pop(), w) for w in vocabulary]
-    data += [(test.pop(), "unseen often"), *((test.pop(), "often") for _ in range(40)), (test.pop(), "unseen")]  # often has an id and no training count
-    got = maxent.score(frame(spark, [(i, t, "en", "s", 0) for i, t in data]), head_rows=120).collect()
-    text, size = dict(data), math.log10(maxent.CLASSES)
-    p = {text[r["doc_id"]]: 10 ** (r["score"] + 2 * size) for r in got if r["n_tokens"] == 2}
-    assert 50 < len(labels[0]) - 1 < len(p) == 302
-    assert sum(p.values()) == pytest.approx(len(set(labels[0].tolist()) - {maxent.CLASSES - 2}))
-
-
-def test_lm_clusters_all_tokens_with_ids():
+def test_lm_probabilities_add_up_to_one():
+    items, model = lm_model()
+    n = len(items.weight)
+    p1, p2 = model.history(np.array([5, 7, 9, 2, 4]), np.zeros(0, np.uint32), np.array([0, 3]))
+    for at in range(5):
+        every = np.exp(model.log_probability(np.arange(n), np.full(n, p1[at]), np.full(n, p2[at])))
+        z = model.logits(model.rows(p1[at : at + 1], p2[at : at + 1]))[0].astype(float)
+        share = np.exp(z) / np.exp(z).sum()
+        assert np.allclose(np.bincount(model.label, every, maxent.CLASSES), share, rtol=1e-4)  # within each class to its share
+        assert every.sum() == pytest.approx(1, abs=1e-4)
+    # the second text's features do not see the first
+    a, b = model.history(np.array([2, 4]), np.zeros(0, np.uint32), np.array([0]))
+    assert (a == p1[3:]).all() and (b == p2[3:]).all()
+
+
+def test_lm_starts_as_the_unigram_model():
+    items, model = lm_model()
+    model = maxent.Model(items, model.label, 10_000)
+    got = model.log_probability(np.arange(len(items.weight)), *np.zeros((2, len(items.weight)), np.uint32))
+    assert np.allclose(got, np.log(items.weight / items.whole), atol=1e-4)
+
+
+def test_lm_steps_follow_the_gradient():
+    """One step over one position moves every weight it touches against the numerical gradient of the loss."""
+    items, model = lm_model(3)
+    ids, p1, p2 = np.array([17]), np.array([12345], np.uint32), np.array([777], np.uint32)
+    loss = lambda: -model.log_probability(ids, p1, p2)[0]
+    learner = maxent.Learner(model)
+    model.w, model.t = learner.w, learner.t
+    learner._step(ids, p1, p2)
+    model.w, model.t = learner.start_w, learner.start_t
+    moved_w, moved_t = learner.w - model.w, learner.t - model.t
+    eps = 1e-2
+
+    def slope(table, at):
+        old = table[at]
+        table[at] = old + eps
+        up = loss()
+        table[at] = old - eps
+        down = loss()
+        table[at] = old
+        return (up - down) / (2 * eps)
+
+    picks = [(r, c) for r in np.flatnonzero(moved_w.any(1)) for c in range(maxent.CLASSES)]
+    assert len(picks) == 3 * maxent.CLASSES and np.count_nonzero(moved_t) == 3 * model.tree.depth[17]
+    for at in picks:
+        assert slope(model.w, at) * moved_w[at] <= 1e-4
+    for at in np.flatnonzero(moved_t):
+        assert slope(model.t, at) * moved_t[at] < 0
+
+
+def test_lm_leaves_share_all_training_tokens(spark):
+    counts = {b"w%d" % k: 1 + k // 7 for k in range(90)} | {b"": 30, "é".encode(): 1, b"\xff\xfe": 1}
+    df = spark.createDataFrame(list(counts.items()), "token binary, c long")
+    for most in (1000, 20, 0):
+        items = maxent.items_of(df, most)
+        assert len(items.tokens) <= most and all(counts[t] >= maxent.LEAST for t in items.tokens)
+        own = set(items.tokens)
+        rest = collections.Counter()
+        for t, c in counts.items():
+            if t not in own:
+                rest[maxent.shape_of(t)] += c + 0.5
+        assert items.share.tolist() == [rest[s] + 0.5 for s in range(maxent.SHAPES)]
+        assert items.tokens == sorted(items.tokens, key=lambda t: (-counts[t], t))
+        assert items.whole == pytest.approx(sum(counts.values()) + 0.5 * len(counts) + 0.5 * maxent.SHAPES)
+
+
+def test_lm_clusters_all_leaves():
     n = (1 << 17) + 1000
     rng = np.random.default_rng(2)
-    kind = np.where(np.arange(n) < maxent.OWN, 0, rng.integers(0, 2, n))
-    before = np.zeros((n, maxent.CONTEXTS), np.int32)
-    before[np.arange(n), 10 + kind] = 100
+    kind = np.where(np.arange(n + maxent.SHAPES) < maxent.OWN, 0, rng.integers(0, 2, n + maxent.SHAPES))
+    before = np.zeros((n + maxent.SHAPES, maxent.CONTEXTS), np.int32)
+    before[np.arange(len(before)), 10 + kind] = 100
+    items = maxent.Items([b"t%d" % i for i in range(n)], np.ones(n), np.zeros(maxent.SHAPES), np.zeros(maxent.SHAPES))
     assert n <= maxent.HEAD and maxent.CONTEXTS == 48
-    label = maxent.classes_of(maxent.Head([b"t%d" % i for i in range(n)], np.ones(n)), before)
-    assert label[n] == maxent.CLASSES - 1 and (label[:n] < maxent.CLASSES - 2).all()
-    a, b = (set(label[maxent.OWN : n][kind[maxent.OWN :] == k].tolist()) for k in (0, 1))
+    label = maxent.classes_of(items, before)
+    assert len(label) == n + maxent.SHAPES and (label < maxent.CLASSES - 1).all()
+    a, b = (set(label[maxent.OWN :][kind[maxent.OWN :] == k].tolist()) for k in (0, 1))
     assert a and b and not a & b
 
 
-def test_lm_clusters_what_score_gives_ids(spark, monkeypatch):
-    rows_, classes_of = [], maxent.classes_of
-
-    def spy(head, before):
-        rows_.append((len(head.tokens), len(before)))
-        return classes_of(head, before)
-
-    monkeypatch.setattr(maxent, "classes_of", spy)
-    n = 70_000
-    data = [(i, " ".join(f"w{k}" for k in range(i * 1000, i * 1000 + 1000)), "en", "s", 0) for i in range(n // 1000)]
-    maxent.score(frame(spark, data)).count()
-    assert rows_ == [(n + 1, n + 1)]
-
-
 def test_lm_learns_history(spark):
     rng = random.Random(4)
     data = []
@@ -113,8 +143,42 @@ def test_lm_learns_history(spark):
     assert got and sum(r["score"] for r in got) > sum(r["base_score"] for r in got) + 2 * len(got)
 
 
+def test_lm_learns_what_follows_within_a_class(spark):
+    """Each word decides the next one of 40 alike ones, which only a softmax within the class can say."""
+    rng = random.Random(5)
+    follow = {k: rng.randrange(40) for k in range(40)}
+
+    def text():
+        k, out = rng.randrange(40), []
+        for _ in range(80):
+            out.append(f"w{k}")
+            k = follow[k] if rng.random() < 0.8 else rng.randrange(40)
+        return " ".join(out)
+
+    got = maxent.score(frame(spark, [(i, text(), "x", "s", 0) for i in range(400)])).where("held_out").collect()
+    assert sum(r["score"] for r in got) / sum(r["n_tokens"] for r in got) > sum(r["base_score"] for r in got) / sum(r["n_tokens"] for r in got) + 0.4
+
+
+def test_lm_is_of_training_texts_alone(spark):
+    out = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
+    rng = random.Random(6)
+    words_ = [f"w{k}" for k in range(500)]
+    text = lambda: " ".join(rng.choices(words_, [1 / (k + 1) for k in range(500)], k=40))
+    data = [(i, text(), "en", "s", 0) for i in range(250)]
+    other = [(i, " ".join([*rng.choices(words_, k=90), "new words often"] * 3) if out(i) else t, *r) for i, t, *r in data]
+    ask = lambda rows_, n: {r["doc_id"]: (r["base_score"], r["score"]) for r in maxent.score(frame(spark, rows_).repartition(n), head_rows=200).collect()}
+    a, b, c = ask(data, 2), ask(other, 3), ask(data, 16)
+    close = lambda x, y: max(abs(p - q) for p, q in zip(x, y, strict=True)) < 1e-9
+    assert all(close(a[i], b[i]) for i in a if not out(i))
+    assert all(close(a[i], c[i]) for i in a)
+    assert not all(close(a[i], b[i]) for i in a if out(i))
+
+
 def test_lm_empty(spark):
     assert maxent.score(empty(spark)).count() == 0
+    only_test = [(i, "a b a b", "en", "s", 0) for i in range(30) if zlib.crc32(str(i).encode()) % 5 == 1]
+    got = maxent.score(frame(spark, only_test)).collect()
+    assert len(got) == len(only_test) and all(r["train_tokens"] == 0 and r["n_known"] == 0 and r["score"] < 0 for r in got)
 
 
 # 2 URL filter
