@@ -227,11 +227,13 @@ def _summed(decode):
 
 
 def _gather(rows: DataFrame, order: list[str], decode, dtype):
-    """(row, sum of the tasks' arrays): as many rows as the model has, which is bounded."""
+    """(row, sum of the tasks' arrays): as many rows as the model has, 50 MB at most."""
     parts = max(1, min(64, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     sorted_ = rows.repartition(parts, "row").sortWithinPartitions(*order).select("row", "data")
-    for r in sorted_.mapInArrow(_summed(decode), "row long, data binary").toLocalIterator():
-        yield r["row"], np.frombuffer(r["data"], dtype)
+    got = sorted_.mapInArrow(_summed(decode), "row long, data binary").toArrow()
+    for batch in got.to_batches():
+        for r, d in zip(batch.column("row").to_pylist(), batch.column("data"), strict=True):
+            yield r, np.frombuffer(d.as_buffer(), dtype)
 
 
 def classes_of(items: Items, before: np.ndarray, rounds: int = 12) -> np.ndarray:
