@@ -4,8 +4,9 @@ The probability of a token is that of its class given the history, times that of
 the token within its class given the history, and both are softmaxes.  The class is
 a softmax over CLASSES classes.  Within a class the tokens are the leaves of a
 binary tree, and each inner node is a softmax over its two sides.  The logits add up
-one weight for each hashed feature of the history: the last token, the last two as a
-pair, and the token before the last (a skip feature).  Features hash the bytes of
+one weight for each hashed feature of the history: for the class the last token, the
+last two as a pair, and the token before the last (a skip feature); within the class
+the last token with the node.  Features hash the bytes of
 tokens, so the history knows every token, however rare.  All weights start where
 the model is the unigram model; gradient steps move them.
 
@@ -35,7 +36,8 @@ empty result.
 from __future__ import annotations
 
 import zlib
-from itertools import repeat
+from copy import copy
+from itertools import groupby, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -53,11 +55,11 @@ CONTEXTS, CLASSES, OWN = 48, 16, 2
 #: Items that are clustered at once.
 BLOCK = 1 << 14
 #: Rounds of training, tokens of a shard, least shards.
-ROUNDS, SHARD, SHARDS = 4, 1 << 21, 8
+ROUNDS, SHARD, SHARDS = 4, 1 << 22, 8
 #: Rates of the gradient steps (class, tree), what their divisors start from, and tokens of one step.
-RATE, TREE_RATE, PRIOR, TREE_PRIOR, STEP = 0.25, 0.3, 1.0, 4.0, 1 << 12
+RATE, TREE_RATE, PRIOR, TREE_PRIOR, STEP = 0.25, 0.5, 1.0, 4.0, 1 << 12
 #: Rows of a class feature and weights of the tree: one for so many training tokens, between two powers of two.
-ROW_TOKENS, ROW_LOG2 = 1 << 6, (12, 15)
+ROW_TOKENS, ROW_LOG2 = 1 << 7, (12, 14)
 SLOT_TOKENS, SLOT_LOG2 = 1 << 1, (16, 21)
 #: Tree weights of one block on its way between tasks, which goes in half precision, and the scale of its averaging weights.
 SLOTS, SCALE = 1 << 12, 16
@@ -266,42 +268,41 @@ def classes_of(items: Items, before: np.ndarray, rounds: int = 12) -> np.ndarray
 
 
 class Tree:
-    """A binary tree over the items of each class.  first and depth give an item's
-    way down; node and side the nodes on it; bias the logit of side 1 at each node,
-    so that with no other weights a leaf has its share of the class's weight."""
+    """A binary tree over the items of each class, halved by weight.  first and depth
+    give an item's way down, step its nodes and sides (node * 2 + side); bias the
+    logit of side 1 at each node, so that with no other weights a leaf has its share
+    of the class's weight."""
 
     def __init__(self, label: np.ndarray, weight: np.ndarray):
         n = len(label)
         order = np.lexsort((np.arange(n), label))  # items come by count, so alike counts stand together
         total = np.append(0.0, np.cumsum(weight[order]))
-        edges = np.flatnonzero(np.diff(label[order], prepend=-1))
-        low, high = edges, np.append(edges[1:], n)
-        ways, bias, n_nodes = [], [], 0
-        while len(low):
-            open_ = high - low > 1
+        low = np.flatnonzero(np.diff(label[order], prepend=-1))
+        high = np.append(low[1:], n)
+        items, steps, bias, n_nodes = [], [], [], 0
+        while (open_ := high - low > 1).any():
             low, high = low[open_], high[open_]
-            if not len(low):
-                break
-            half = np.searchsorted(total, (total[low] + total[high]) / 2)
-            mid = np.clip(half, low + 1, high - 1)
+            mid = np.clip(np.searchsorted(total, (total[low] + total[high]) / 2), low + 1, high - 1)
             bias.append(np.log((total[high] - total[mid]) / (total[mid] - total[low])))
-            at = np.concatenate([np.arange(a, b) for a, b in zip(low, high, strict=True)])
-            node = np.repeat(np.arange(n_nodes, n_nodes + len(low)), high - low)
-            ways.append((order[at], node, at >= np.repeat(mid, high - low)))
+            k = high - low
+            at = np.arange(k.sum()) + np.repeat(low - (np.cumsum(k) - k), k)
+            items.append(order[at])
+            steps.append(np.repeat(np.arange(n_nodes, n_nodes + len(low)), k) * 2 + (at >= np.repeat(mid, k)))
             n_nodes += len(low)
             low, high = np.stack([low, mid], 1).ravel(), np.stack([mid, high], 1).ravel()
-        item, node, side = (np.concatenate(x) if ways else np.zeros(0, np.int64) for x in (zip(*ways, strict=True) if ways else ((), (), ())))
-        by = np.argsort(item, kind="stable")
-        self.node, self.side = node[by].astype(np.uint32), side[by].astype(np.float32)
-        self.depth = np.bincount(item, minlength=n).astype(np.int64)
-        self.first = np.cumsum(self.depth) - self.depth
-        self.bias = (np.concatenate(bias) if bias else np.zeros(1)).astype(np.float32)
+        item = np.concatenate(items) if items else np.zeros(0, np.int64)
+        self.step = (np.concatenate(steps) if steps else item)[np.argsort(item, kind="stable")].astype(np.uint32)
+        self.depth = np.bincount(item, minlength=n).astype(np.int8)
+        self.first = (np.cumsum(self.depth, dtype=np.int64) - self.depth).astype(np.int32)
+        self.bias = np.concatenate(bias or [np.zeros(1)]).astype(np.float32)
 
     def way(self, y: np.ndarray):
-        """Which of y's positions, node and side of every decision."""
-        k = self.depth[y]
-        at = np.arange(k.sum()) + np.repeat(self.first[y] - (np.cumsum(k) - k), k)
-        return k, self.node[at], self.side[at]
+        """How many decisions each of y has, and the node and side of each."""
+        k = self.depth[y].astype(np.int64)
+        at = np.repeat(self.first[y] - (np.cumsum(k) - k), k)
+        at += np.arange(len(at))
+        step = self.step[at]
+        return k, step >> np.uint32(1), (step & np.uint32(1)).astype(np.float32)
 
 
 class Model:
@@ -331,48 +332,54 @@ class Model:
         p2[second[second < len(h)]] = 0
         return p1, p2
 
-    def rows(self, p1, p2) -> np.ndarray:
+    def rows(self, p1, p2) -> list[np.ndarray]:
         """Class weight rows of each position: last, pair and skip."""
         down, n = np.uint32(32 - self.row_log2), 1 << self.row_log2
         hash_ = lambda x: (((x ^ (x >> np.uint32(15))) * MIX[0]) >> down).astype(np.int64)
-        return np.stack([hash_(p1), hash_((p1 * MIX[2]) ^ p2) + n, hash_(p2 * MIX[4]) + 2 * n])
-
-    def slots(self, p1, p2, k, node) -> list[np.ndarray]:
-        """Tree weights of each decision: last, pair and skip, each with the node."""
-        down, n = np.uint32(32 - self.slot_log2), node * MIX[1]
-        hash_ = lambda x: ((((x ^ n) ^ ((x ^ n) >> np.uint32(15))) * MIX[2]) >> down).astype(np.int64)
-        return [hash_(np.repeat(x, k)) for x in (p1 * MIX[0], (p1 * MIX[3]) ^ (p2 * MIX[4]), p2 * MIX[2] + MIX[1])]
-
-    def logits(self, rows: np.ndarray) -> np.ndarray:
-        """Logits of the classes at each position, the largest 0."""
+        return [hash_(p1), hash_((p1 * MIX[2]) ^ p2) + n, hash_(p2 * MIX[4]) + 2 * n]
+
+    def slots(self, p1, k, node) -> np.ndarray:
+        """The tree weight of each decision: of the last token with the node."""
+        x = np.repeat(p1 * MIX[0], k)
+        x ^= node * MIX[1]
+        x ^= x >> np.uint32(15)
+        x *= MIX[2]
+        x >>= np.uint32(32 - self.slot_log2)
+        return x.astype(np.int64)
+
+    def classes(self, rows) -> np.ndarray:
+        """Probabilities of the classes at each position."""
         z = self.w[rows[0]]
-        z += self.w[rows[1]]
-        z += self.w[rows[2]]
+        for r in rows[1:]:
+            z += self.w[r]
         z += self.w[-1]
-        z -= z.max(1, keepdims=True)
-        return z
-
-    def decide(self, slots, node) -> np.ndarray:
-        """Logits of side 1 at each decision."""
-        z = self.tree.bias[node]
-        for s in slots:
-            z += self.t[s]
-        return z
+        return _softmax(z)
 
     def log_probability(self, ids, p1, p2) -> np.ndarray:
         """Natural log probability of each item."""
-        z = self.logits(self.rows(p1, p2))
-        own = z[np.arange(len(ids)), self.label[ids]].astype(np.float64)
-        out = own - np.log(np.exp(z, out=z).sum(1).astype(np.float64))
+        p = self.classes(self.rows(p1, p2))
+        out = np.log(p[np.arange(len(ids)), self.label[ids]], dtype=np.float64)
         k, node, side = self.tree.way(ids)
-        z = self.decide(self.slots(p1, p2, k, node), node)
-        z = np.where(side > 0, -z, z)  # log(1 + exp(z)), without overflow
-        loss = np.maximum(z, 0) + np.log1p(np.exp(-np.abs(z)))
+        z = self.tree.bias[node] + self.t[self.slots(p1, k, node)]
+        z *= 1 - 2 * side
+        loss = np.maximum(z, 0) + np.log1p(np.exp(-np.abs(z)))  # log(1 + exp(z)), without overflow
         total = np.append(0.0, np.cumsum(loss, dtype=np.float64))
         ends = np.cumsum(k)
         return out - (total[ends] - total[ends - k])
 
 
+def _softmax(z: np.ndarray) -> np.ndarray:
+    """Of each row, in place; no probability is quite 0."""
+    most = z[:, 0].copy()
+    for c in range(1, z.shape[1]):
+        np.maximum(most, z[:, c], out=most)
+    z -= most[:, None]
+    np.exp(z, out=z)
+    z += np.float32(1e-30)
+    z /= z.sum(1, keepdims=True)
+    return z
+
+
 def _joined_texts(texts, most=STEP):
     """Items and tail hashes of joined texts, about `most` tokens or one text at a time, and starts."""
     ids, tails, n = [], [], 0
@@ -394,14 +401,13 @@ def _joined(ids, tails):
 
 class Learner:
     """One shard's way along the gradient, from a model's weights.  A class row's
-    step shrinks with its squared gradients, a tree weight's with the curvature it
-    has seen; both also say how much a shard knows of a weight when shards average."""
+    step shrinks with its squared gradients, a tree row's with the curvature it has
+    seen; both also say how much a shard knows of a row when shards average."""
 
     def __init__(self, model: Model):
         self.m, self.start_w, self.start_t = model, model.w, model.t
         self.w, self.t = model.w.copy(), model.t.copy()
         self.square, self.bend = np.full(len(self.w), PRIOR, np.float32), np.full(len(self.t), TREE_PRIOR, np.float32)
-        self.column = np.arange(CLASSES)
 
     def text(self, ids, tail, starts) -> None:
         m = self.m
@@ -413,30 +419,23 @@ class Learner:
         m.w, m.t = self.start_w, self.start_t
 
     def _step(self, ids, p1, p2) -> None:
-        m, y = self.m, self.m.label[ids]
+        m = self.m
         rows = m.rows(p1, p2)
-        g = m.logits(rows)
-        np.exp(g, out=g)
-        g /= g.sum(1, keepdims=True)
-        g[np.arange(len(y)), y] -= 1
+        g = m.classes(rows)
+        g[np.arange(len(ids)), m.label[ids]] -= 1
         norm = np.einsum("ij,ij->i", g, g)
-        flat = self.w.ravel()
         for r in rows:
             np.add.at(self.square, r, norm)
         for r in rows:
-            step = g * (-RATE / np.sqrt(self.square[r]))[:, None]
-            np.add.at(flat, (r[:, None] * CLASSES + self.column).ravel(), step.ravel())
+            _add_rows(self.w, r, g, -RATE / np.sqrt(self.square[r]))
         k, node, side = m.tree.way(ids)
-        slots = m.slots(p1, p2, k, node)
-        p = 1 / (1 + np.exp(-m.decide(slots, node)))
-        bend, e = p - p * p, (side - p) * np.float32(TREE_RATE)
-        for s in slots:
-            np.add.at(self.bend, s, bend)
-        for s in slots:
-            np.add.at(self.t, s, e / self.bend[s])
+        slots = m.slots(p1, k, node)
+        p = 1 / (1 + np.exp(-(m.tree.bias[node] + self.t[slots])))
+        np.add.at(self.bend, slots, p - p * p)
+        np.add.at(self.t, slots, (side - p) * np.float32(TREE_RATE) / self.bend[slots])
 
     def changes(self):
-        """(row, packed sums): class weight rows, then blocks of tree weights, each
+        """(row, packed sums): class weight rows, then blocks of tree rows, each
         change times its weight in the average, and these weights."""
         known = self.square - np.float32(PRIOR)
         rows = np.flatnonzero(known)
@@ -448,28 +447,23 @@ class Learner:
                 yield len(self.w) + at // SLOTS, change[at : at + SLOTS].tobytes() + known[at : at + SLOTS].tobytes()
 
 
-def _decode(n: int):
-    """Packed sums of row r, n being the number of class weight rows."""
-
-    def decode(r, data):
-        if r < n:
-            return np.frombuffer(data, np.float32)
-        change, known = np.frombuffer(data, np.float16).astype(np.float32).reshape(2, -1)
-        return np.concatenate([change * known, known])
-
-    return decode
+def _add_rows(table: np.ndarray, rows: np.ndarray, add: np.ndarray, scale: np.ndarray) -> None:
+    """table[rows] += add * scale, repeated rows adding up; one flat scatter, which numpy does fastest."""
+    width = table.shape[1]
+    at = rows[:, None] * width + np.arange(width)
+    np.add.at(table.ravel(), at.ravel(), (add * scale[:, None]).ravel())
 
 
 def _gradient(shared):
     def task(batches):
-        model = shared.value
+        static, w, t = (x.value for x in shared)
+        model = copy(static)
+        model.w, model.t = w, t
 
         def rows():
             for batch in batches:
                 yield from zip(*(batch.column(c).to_pylist() for c in ("shard", "ids", "hashes")), strict=True)
 
-        from itertools import groupby
-
         for shard, texts in groupby(rows(), lambda x: x[0]):  # whatever the batches, a shard's steps are the same
             learner = Learner(model)
             for ids, tail, starts in _joined_texts((t[1:] for t in texts), 4 * STEP):
@@ -482,24 +476,41 @@ def _gradient(shared):
     return task
 
 
+def _decode(n: int):
+    """Packed sums of row r, n being the number of class weight rows."""
+
+    def decode(r, data):
+        if r < n:
+            return np.frombuffer(data, np.float32)
+        x = np.frombuffer(data, np.float16).astype(np.float32)
+        x[:SLOTS] *= x[SLOTS:]
+        return x
+
+    return decode
+
+
 def train(texts: DataFrame, model: Model, n_train: int, rounds: int = ROUNDS) -> None:
     """Moves the model's weights along the gradient over texts (id, ids, hashes).
     Each round has shards of its own and starts from the average of the round before."""
     spark = texts.sparkSession
     shards = -(-max(SHARDS, -(-n_train // SHARD)) // rounds) * rounds
     dealt = texts.select(F.pmod(F.xxhash64("id", "ids"), F.lit(shards)).cast("int").alias("shard"), F.xxhash64("ids", "hashes").alias("h"), "ids", "hashes")
-    n = len(model.w)
+    n, put = len(model.w), spark.sparkContext.broadcast
+    static = copy(model)
+    static.w = static.t = None
+    static = put(static)
     for k in range(rounds):
-        shared = spark.sparkContext.broadcast(model)
-        part = dealt.where(F.pmod("shard", F.lit(rounds)) == k).repartition(shards // rounds, "shard").sortWithinPartitions("shard", "h", "ids")
+        shared = static, put(model.w), put(model.t)
+        part = dealt.where(F.pmod("shard", F.lit(rounds)) == k).repartition(4 * shards // rounds, "shard").sortWithinPartitions("shard", "h", "ids")
         moved = part.select("shard", "ids", "hashes").mapInArrow(_gradient(shared), "row long, shard int, data binary")
         for r, total in _gather(moved, ["row", "shard"], _decode(n), np.float32):
             if r < n:
                 model.w[r] += total[:-1] / total[-1]
             else:
-                change, known = total.reshape(2, -1)
-                model.t[(r - n) * SLOTS : (r - n + 1) * SLOTS] += change / np.maximum(known, 1e-30)
-        shared.unpersist()
+                model.t[(r - n) * SLOTS : (r - n + 1) * SLOTS] += total[:SLOTS] / np.maximum(total[SLOTS:], 1e-30)
+        for x in shared[1:]:
+            x.destroy()  # the round is over, and its sums are here
+    static.destroy()
 
 
 def _score(shared):
