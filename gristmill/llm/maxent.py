@@ -64,7 +64,7 @@ SLOT_TOKENS, SLOT_LOG2 = 1 << 1, (16, 21)
 #: Tree weights of one block on its way between tasks, which goes in half precision, and the scale of its averaging weights.
 SLOTS, SCALE = 1 << 12, 16
 #: Distinct tokens that a counting task holds before it sends them on.
-FLUSH = 250_000
+FLUSH = 600_000
 END = b""
 #: Odd factors of the feature hashes.
 MIX = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1)]
@@ -347,37 +347,49 @@ class Model:
         x >>= np.uint32(32 - self.slot_log2)
         return x.astype(np.int64)
 
-    def classes(self, rows) -> np.ndarray:
-        """Probabilities of the classes at each position."""
+    def logits(self, rows) -> np.ndarray:
+        """Logits of the classes at each position, the largest 0."""
         z = self.w[rows[0]]
         for r in rows[1:]:
             z += self.w[r]
         z += self.w[-1]
-        return _softmax(z)
+        most = z[:, 0].copy()
+        for c in range(1, CLASSES):
+            np.maximum(most, z[:, c], out=most)
+        z -= most[:, None]
+        return z
 
     def log_probability(self, ids, p1, p2) -> np.ndarray:
         """Natural log probability of each item."""
-        p = self.classes(self.rows(p1, p2))
-        out = np.log(p[np.arange(len(ids)), self.label[ids]], dtype=np.float64)
+        z = self.logits(self.rows(p1, p2))
+        out = z[np.arange(len(ids)), self.label[ids]].astype(np.float64)
+        np.exp(z, out=z)
+        out -= np.log(z.sum(1))
         k, node, side = self.tree.way(ids)
-        z = self.tree.bias[node] + self.t[self.slots(p1, k, node)]
-        z *= 1 - 2 * side
-        loss = np.maximum(z, 0) + np.log1p(np.exp(-np.abs(z)))  # log(1 + exp(z)), without overflow
-        total = np.append(0.0, np.cumsum(loss, dtype=np.float64))
+        z = self.tree.bias[node]
+        z += self.t[self.slots(p1, k, node)]
+        side *= -2
+        side += 1
+        z *= side  # against the side taken
+        np.exp(np.minimum(z, np.float32(80), out=z), out=z)
+        z += 1
+        np.log(z, out=z)
+        total = np.append(0.0, np.cumsum(z, dtype=np.float64))
         ends = np.cumsum(k)
         return out - (total[ends] - total[ends - k])
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    """Of each row, in place; no probability is quite 0."""
-    most = z[:, 0].copy()
-    for c in range(1, z.shape[1]):
-        np.maximum(most, z[:, c], out=most)
-    z -= most[:, None]
-    np.exp(z, out=z)
-    z += np.float32(1e-30)
-    z /= z.sum(1, keepdims=True)
-    return z
+def _owned(x):
+    """x with arrays of numpy's own types: numpy scatters into those that come out of a
+    pickle, whose type objects are others, by a path two to three times slower."""
+    x = copy(x)
+    for k, v in vars(x).items():
+        if isinstance(v, np.ndarray):
+            setattr(x, k, np.empty(v.shape, v.dtype.str))
+            getattr(x, k)[...] = v
+        elif isinstance(v, Tree):
+            setattr(x, k, _owned(v))
+    return x
 
 
 def _joined_texts(texts, most=STEP):
@@ -421,7 +433,9 @@ class Learner:
     def _step(self, ids, p1, p2) -> None:
         m = self.m
         rows = m.rows(p1, p2)
-        g = m.classes(rows)
+        g = m.logits(rows)
+        np.exp(g, out=g)
+        g /= g.sum(1, keepdims=True)
         g[np.arange(len(ids)), m.label[ids]] -= 1
         norm = np.einsum("ij,ij->i", g, g)
         for r in rows:
@@ -457,8 +471,8 @@ def _add_rows(table: np.ndarray, rows: np.ndarray, add: np.ndarray, scale: np.nd
 def _gradient(shared):
     def task(batches):
         static, w, t = (x.value for x in shared)
-        model = copy(static)
-        model.w, model.t = w, t
+        static.w, static.t = w, t
+        model = _owned(static)
 
         def rows():
             for batch in batches:
@@ -519,6 +533,7 @@ def _score(shared):
 
     def task(batches):
         model, base, inner = shared.value
+        model = _owned(model)
         for batch in slices(batches):
             b, s, k = [], [], []
             for ids, tail, starts in _joined_texts(zip(batch.column("ids").to_pylist(), batch.column("hashes").to_pylist(), strict=True), 4 * STEP):
