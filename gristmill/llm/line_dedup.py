@@ -1,18 +1,18 @@
 """Line dedup with two Bloom filters.
 
-A first pass over all texts sets the bits of each document's line keys in a
-once-seen filter, and of those met there already in a twice-seen filter.  Filters
-of different tasks combine bit by bit: what both saw once, together they saw
-twice.  A second pass sends only keys in the twice-seen filter through a shuffle,
-where whole keys are counted exactly and the largest doc_id is chosen.  The third
-pass rewrites the texts.
-
-The filters have a fixed most size; where a corpus overfills them, more keys
-become suspects and the results stay the same.  A key on a third of all lines
-costs the shuffle one row a task.  Null texts are one empty line.  Rows that
-repeat a doc_id are documents of their own: each holds its lines, and all rows of
-the largest doc_id keep theirs.  Rows with a null doc_id never keep such a line
-while another doc_id holds it.
+A first pass over all texts sends the 64-bit hashes of each document's line keys to
+owners, whose once-seen filters tell which were met before; these make the
+twice-seen filter (see ``blooms``).  A second pass sends only keys that pass the
+twice-seen filter through a shuffle, where whole keys are counted exactly and the
+largest doc_id is chosen.  The third pass rewrites the texts.
+
+Filters are sized from what they hold.  A key on a third of all lines costs the
+first shuffle a row or two for 1,000 documents, and the second one a row a task.
+Null texts are one empty line.  Very long texts are read whole, and one line may be
+any length.  Rows that repeat a doc_id are documents of their own: each holds its
+lines, and all rows of the largest doc_id keep theirs.  Rows with a null doc_id
+never keep such a line while another doc_id holds it.  An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -25,15 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, slices, text_of, utf8
+from . import blooms
+from .common import discard, materialize, slices, text_of, utf8
 
 LEAST_CHARS, LEAST_DOCS = 20, 3
-#: Bits of a filter: this many for each byte of the largest count of lines
-#: expected (a document has about LINES_A_DOC), between the two powers of two.
-BITS_A_LINE, LINES_A_DOC, LEAST_LOG2, MOST_LOG2 = 12, 16, 20, 28
-HASHES = 4
-#: Bytes of one filter block on its way between tasks.
-BLOCK = 1 << 13
 #: The table of repeated lines is broadcast up to so many bytes, and joined beyond.
 BROADCAST_BYTES = 48 << 20
 STRIP = b" \t\n\x0b\x0c\r"
@@ -52,113 +47,55 @@ def keys_of(text: bytes) -> set[bytes]:
     return {k for line in text.split(b"\n") if long_enough(k := key_of(line))}
 
 
-def positions(keys, log2: int) -> np.ndarray:
-    """HASHES bit positions of each key, by double hashing."""
-    from xxhash import xxh3_128_digest
+def hashes_of(keys) -> np.ndarray:
+    from xxhash import xxh3_64_digest
 
-    h = np.frombuffer(b"".join(map(xxh3_128_digest, keys)), "<u8").reshape(-1, 2)
-    return ((h[:, :1] + np.arange(HASHES, dtype=np.uint64) * (h[:, 1:] | np.uint64(1))) >> np.uint64(64 - log2)).astype(np.int64)
+    return np.frombuffer(b"".join(map(xxh3_64_digest, keys)), ">i8").astype(np.int64)
 
 
-class Pair:
-    """A once-seen and a twice-seen filter."""
+def _hashes(batches):
+    """A row for each key of 1,000 documents, and a second one if two of them hold it."""
+    for batch in slices(batches):
+        seen: set[bytes] = set()
+        again: set[bytes] = set()
+        for text in utf8(batch.column("text")):
+            keys = keys_of(text)
+            again |= keys & seen
+            seen |= keys
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array(hashes_of([*seen, *again]))], ["h"])
 
-    def __init__(self, log2: int):
-        self.log2 = log2
-        self.once, self.twice = (np.zeros(1 << (log2 - 3), np.uint8) for _ in range(2))
 
-    def add(self, keys) -> None:
-        """Keys distinct within a document; documents one after another, or
-        together if np.unique finds the repeats among them."""
-        at = positions(keys, self.log2)
-        byte, bit = at >> 3, (1 << (at & 7)).astype(np.uint8)
-        met = ((self.once[byte] & bit) != 0).all(1)
-        np.bitwise_or.at(self.twice, byte[met].ravel(), bit[met].ravel())
-        np.bitwise_or.at(self.once, byte[~met].ravel(), bit[~met].ravel())
-
-    def holds_twice(self, keys) -> np.ndarray:
-        at = positions(keys, self.log2)
-        return ((self.twice[at >> 3] & (1 << (at & 7)).astype(np.uint8)) != 0).all(1)
-
-
-def _build(log2):
-    def task(batches):
-        pair, empty = Pair(log2), True
-        for batch in batches:
-            seen: set[bytes] = set()
-            again: set[bytes] = set()
-            for text in utf8(batch.column("text")):
-                keys = keys_of(text)
-                again |= keys & seen
-                seen |= keys
-            if seen:
-                empty = False
-                pair.add(list(seen))
-            if again:
-                pair.add(list(again))
-        if not empty:
-            for b in range(0, len(pair.once), BLOCK):
-                once, twice = pair.once[b : b + BLOCK], pair.twice[b : b + BLOCK]
-                if once.any():
-                    yield pa.RecordBatch.from_arrays([pa.array([b // BLOCK], pa.int64()), pa.array([once.tobytes()]), pa.array([twice.tobytes()])], ["block", "once", "twice"])
-
-    return task
-
-
-def _combine(batches):
-    """Blocks come sorted; those of a number combine one after another."""
-    number = once = twice = None
-    for batch in batches:
-        for n, o, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            o, t = np.frombuffer(o, np.uint8), np.frombuffer(t, np.uint8)
-            if n == number:
-                twice, once = twice | t | (once & o), once | o
-                continue
-            if number is not None:
-                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([twice.tobytes()])], ["block", "twice"])
-            number, once, twice = n, o, t
-    if number is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([twice.tobytes()])], ["block", "twice"])
-
-
-def twice_seen(slim: DataFrame) -> tuple[int, bytes]:
-    """log2 of the filter's bits, and the twice-seen filter of all texts.  It has
-    2^MOST_LOG2 bits (32 MB) at most, so the driver can hold and broadcast it."""
-    spark = slim.sparkSession
-    log2 = int(np.clip(np.ceil(np.log2(max(1, slim.count()) * LINES_A_DOC * BITS_A_LINE)), LEAST_LOG2, MOST_LOG2))
-    # as many filter pairs as the cluster has task slots, a few times over, not as the input has splits
-    few = slim.coalesce(4 * spark.sparkContext.defaultParallelism)
-    made = few.mapInArrow(_build(log2), "block long, once binary, twice binary")
-    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << max(0, log2 - 16)))
-    merged = made.repartition(parts, "block").sortWithinPartitions("block").mapInArrow(_combine, "block long, twice binary")
-    out = bytearray(1 << (log2 - 3))
-    for row in merged.toLocalIterator():
-        out[row["block"] * BLOCK : row["block"] * BLOCK + len(row["twice"])] = row["twice"]
-    return log2, bytes(out)
-
-
-def repeated_lines(slim: DataFrame) -> DataFrame:
-    """(key, last) of every key in at least LEAST_DOCS documents: last is the
-    largest id that holds it.  slim has columns id and text."""
-    log2, bits = twice_seen(slim)
+def suspects(slim: DataFrame) -> DataFrame:
+    """(id, key) of the keys that more than one document may hold, a row for each
+    document and key.  slim has columns id and text."""
+    # a key and its line end take LEAST_CHARS + 1 bytes at least
+    most = slim.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    repeated = materialize(blooms.repeats(slim.select("text").mapInArrow(_hashes, "h long"), most // (LEAST_CHARS + 1)), "repeated-hashes")
+    log2, bits = blooms.twice_seen(repeated)
+    discard(repeated)
     shared = slim.sparkSession.sparkContext.broadcast(bits)
 
     def task(batches):
-        pair = Pair(LEAST_LOG2)
-        pair.log2, pair.twice = log2, np.frombuffer(shared.value, np.uint8)
-        for batch in batches:
+        twice = log2, np.frombuffer(shared.value, np.uint8)
+        for batch in slices(batches):
             ids, keys = [], []
             for i, text in enumerate(utf8(batch.column("text"))):
                 own = list(keys_of(text))
                 keys += own
                 ids += [i] * len(own)
             if keys:
-                hit = np.flatnonzero(pair.holds_twice(keys))
+                hit = np.flatnonzero(blooms.passes(twice, hashes_of(keys)))
                 if len(hit):
                     yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array([ids[i] for i in hit], pa.int64())), pa.array([keys[i] for i in hit], pa.binary())], ["id", "key"])
 
-    suspects = slim.mapInArrow(task, T.StructType([slim.schema["id"], T.StructField("key", T.BinaryType())]))
-    return suspects.groupBy("key").agg(F.max("id").alias("last"), F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= LEAST_DOCS).select("key", "last")
+    return slim.mapInArrow(task, T.StructType([slim.schema["id"], T.StructField("key", T.BinaryType())]))
+
+
+def repeated_lines(slim: DataFrame) -> DataFrame:
+    """(key, last) of every key in at least LEAST_DOCS documents: last is the
+    largest id that holds it."""
+    return suspects(slim).groupBy("key").agg(F.max("id").alias("last"), F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= LEAST_DOCS).select("key", "last")
 
 
 OUT = "n_lines long, n_dropped long, kept_sha256 string, kept string"
@@ -200,7 +137,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
         def task(batches):
             get = table.value.get
-            for batch in batches:
+            for batch in slices(batches):
                 ids = batch.column("id")
                 rows = [_rewrite(t, i, get) for t, i in zip(utf8(batch.column("text")), ids.to_pylist(), strict=True)]
                 yield _emit(ids, rows, fields[0], with_text)
@@ -215,7 +152,7 @@ def _joined(slim: DataFrame, lines: DataFrame, schema, fields, with_text) -> Dat
     from .common import hot_join
 
     def occurrences(batches):
-        for batch in batches:
+        for batch in slices(batches):
             ids, keys = [], []
             for i, text in enumerate(utf8(batch.column("text"))):
                 own = list(keys_of(text))
@@ -234,7 +171,7 @@ def _joined(slim: DataFrame, lines: DataFrame, schema, fields, with_text) -> Dat
     rows = hashed.join(drops, hashed["id"].eqNullSafe(drops["i2"]) & (hashed["h"] == drops["h2"]), "left").select("id", "text", "keys")
 
     def task(batches):
-        for batch in batches:
+        for batch in slices(batches):
             ids = batch.column("id")
             made = []
             for text, keys in zip(utf8(batch.column("text")), batch.column("keys").to_pylist(), strict=True):

@@ -52,8 +52,8 @@ FOLDS, HELD_OUT = 5, 1
 HEAD, LEAST, SHAPES = 1 << 18, 2, 1 << 10
 #: Contexts that classes are made from, classes, and classes that the most frequent tokens have for themselves.
 CONTEXTS, CLASSES, OWN = 48, 16, 2
-#: Items that are clustered at once.
-BLOCK = 1 << 14
+#: Items that are clustered at once, and items of one block on its way between tasks.
+BLOCK, ITEMS = 1 << 14, 1 << 11
 #: Rounds of training, tokens of a shard, least shards.
 ROUNDS, SHARD, SHARDS = 4, 1 << 22, 8
 #: Rates of the gradient steps (class, tree), what their divisors start from, and tokens of one step.
@@ -61,8 +61,8 @@ RATE, TREE_RATE, PRIOR, TREE_PRIOR, STEP = 0.25, 0.5, 1.0, 4.0, 1 << 12
 #: Rows of a class feature and weights of the tree: one for so many training tokens, between two powers of two.
 ROW_TOKENS, ROW_LOG2 = 1 << 7, (12, 14)
 SLOT_TOKENS, SLOT_LOG2 = 1 << 1, (16, 21)
-#: Tree weights of one block on its way between tasks, which goes in half precision, and the scale of its averaging weights.
-SLOTS, SCALE = 1 << 12, 16
+#: Class weight rows and tree weights of one block on its way between tasks; tree weights go in half precision, their averaging weights on a scale.
+LINES, SLOTS, SCALE = 1 << 8, 1 << 12, 16
 #: Distinct tokens that a counting task holds before it sends them on.
 FLUSH = 600_000
 END = b""
@@ -173,8 +173,8 @@ def _to_ids(shared):
 
 
 def _before(n_items, ends):
-    """Counts of the two preceding tokens that are contexts, by item: rows (item,
-    packed counts).  The end of a text is no context, so texts may be joined."""
+    """Counts of the two preceding tokens that are contexts, by item: rows (block of
+    ITEMS, places and counts).  The end of a text is no context, so texts may be joined."""
 
     def task(batches):
         table = np.zeros(n_items * CONTEXTS, np.int32)
@@ -186,15 +186,23 @@ def _before(n_items, ends):
                     for e in ends:  # the end of the text before
                         ok &= (a != e) & (ids[1:-1] != e if gap == 2 else True)
                     np.add.at(table, b[ok] * CONTEXTS + a[ok], 1)
-        table = table.reshape(n_items, CONTEXTS)
-        rows = np.flatnonzero(table.any(1))
-        for at in range(0, len(rows), 20_000):
-            part = rows[at : at + 20_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int64)), pa.array([x.tobytes() for x in table[part]], pa.binary())], ["row", "data"])
+        width = ITEMS * CONTEXTS
+        for at in range(0, len(table), width):
+            part = table[at : at + width]
+            hit = np.flatnonzero(part)
+            if len(hit):
+                yield pa.RecordBatch.from_arrays([pa.array([at // width], pa.int64()), pa.array([np.stack([hit, part[hit]]).astype("<i4").tobytes()], pa.binary())], ["row", "data"])
 
     return task
 
 
+def _dense(_, data):
+    hit, n = np.frombuffer(data, "<i4").reshape(2, -1)
+    out = np.zeros(ITEMS * CONTEXTS, np.int32)
+    out[hit] = n
+    return out
+
+
 def _summed(decode):
     """Rows come sorted by row and then shard; the arrays of a row add up in that order."""
 
@@ -217,7 +225,7 @@ def _summed(decode):
                 if row is not None:
                     done_r.append(row)
                     done_t.append(total.tobytes())
-                    if len(done_r) >= 1000:
+                    if len(done_r) >= 100:
                         yield flush()
                 row, total = r, d
         if row is not None:
@@ -449,16 +457,17 @@ class Learner:
         np.add.at(self.t, slots, (side - p) * np.float32(TREE_RATE) / self.bend[slots])
 
     def changes(self):
-        """(row, packed sums): class weight rows, then blocks of tree rows, each
-        change times its weight in the average, and these weights."""
+        """(block, packed sums): of class weight rows, each change times its weight in
+        the average, and these weights; of tree weights, blocks numbered from -1 down."""
         known = self.square - np.float32(PRIOR)
-        rows = np.flatnonzero(known)
-        data = np.concatenate([(self.w[rows] - self.start_w[rows]) * known[rows, None], known[rows, None]], 1)
-        yield from ((r, d.tobytes()) for r, d in zip(rows.tolist(), data, strict=True))
+        data = np.concatenate([(self.w - self.start_w) * known[:, None], known[:, None]], 1)
+        for at in range(0, len(known), LINES):
+            if known[at : at + LINES].any():
+                yield at // LINES, data[at : at + LINES].tobytes()
         change, known = (self.t - self.start_t).astype(np.float16), ((self.bend - np.float32(TREE_PRIOR)) / SCALE).astype(np.float16)
         for at in range(0, len(change), SLOTS):
             if known[at : at + SLOTS].any():
-                yield len(self.w) + at // SLOTS, change[at : at + SLOTS].tobytes() + known[at : at + SLOTS].tobytes()
+                yield -1 - at // SLOTS, change[at : at + SLOTS].tobytes() + known[at : at + SLOTS].tobytes()
 
 
 def _add_rows(table: np.ndarray, rows: np.ndarray, add: np.ndarray, scale: np.ndarray) -> None:
@@ -483,24 +492,19 @@ def _gradient(shared):
             for ids, tail, starts in _joined_texts((t[1:] for t in texts), 4 * STEP):
                 learner.text(ids, tail, starts)
             made = list(learner.changes())
-            for at in range(0, len(made), 1000):
-                r, d = zip(*made[at : at + 1000], strict=True)
+            for at in range(0, len(made), 100):
+                r, d = zip(*made[at : at + 100], strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()), pa.array([shard] * len(r), pa.int32()), pa.array(d, pa.binary())], ["row", "shard", "data"])
 
     return task
 
 
-def _decode(n: int):
-    """Packed sums of row r, n being the number of class weight rows."""
-
-    def decode(r, data):
-        if r < n:
-            return np.frombuffer(data, np.float32)
-        x = np.frombuffer(data, np.float16).astype(np.float32)
-        x[:SLOTS] *= x[SLOTS:]
-        return x
-
-    return decode
+def _decode(block, data):
+    if block >= 0:
+        return np.frombuffer(data, np.float32)
+    x = np.frombuffer(data, np.float16).astype(np.float32)
+    x[:SLOTS] *= x[SLOTS:]
+    return x
 
 
 def train(texts: DataFrame, model: Model, n_train: int, rounds: int = ROUNDS) -> None:
@@ -509,7 +513,7 @@ def train(texts: DataFrame, model: Model, n_train: int, rounds: int = ROUNDS) ->
     spark = texts.sparkSession
     shards = -(-max(SHARDS, -(-n_train // SHARD)) // rounds) * rounds
     dealt = texts.select(F.pmod(F.xxhash64("id", "ids"), F.lit(shards)).cast("int").alias("shard"), F.xxhash64("ids", "hashes").alias("h"), "ids", "hashes")
-    n, put = len(model.w), spark.sparkContext.broadcast
+    put = spark.sparkContext.broadcast
     static = copy(model)
     static.w = static.t = None
     static = put(static)
@@ -517,11 +521,12 @@ def train(texts: DataFrame, model: Model, n_train: int, rounds: int = ROUNDS) ->
         shared = static, put(model.w), put(model.t)
         part = dealt.where(F.pmod("shard", F.lit(rounds)) == k).repartition(4 * shards // rounds, "shard").sortWithinPartitions("shard", "h", "ids")
         moved = part.select("shard", "ids", "hashes").mapInArrow(_gradient(shared), "row long, shard int, data binary")
-        for r, total in _gather(moved, ["row", "shard"], _decode(n), np.float32):
-            if r < n:
-                model.w[r] += total[:-1] / total[-1]
+        for r, total in _gather(moved, ["row", "shard"], _decode, np.float32):
+            if r >= 0:
+                total = total.reshape(-1, CLASSES + 1)
+                model.w[r * LINES : (r + 1) * LINES] += total[:, :-1] / np.maximum(total[:, -1:], 1e-30)
             else:
-                model.t[(r - n) * SLOTS : (r - n + 1) * SLOTS] += total[:SLOTS] / np.maximum(total[SLOTS:], 1e-30)
+                model.t[(-1 - r) * SLOTS : -r * SLOTS] += total[:SLOTS] / np.maximum(total[SLOTS:], 1e-30)
         for x in shared[1:]:
             x.destroy()  # the round is over, and its sums are here
     static.destroy()
@@ -556,9 +561,10 @@ def fit(made: DataFrame, items: Items, n_train: int, rounds: int) -> Model:
     learn = made.where("not held_out")
     n = len(items.weight)
     ends = frozenset(i for i, t in enumerate(items.tokens[:CONTEXTS]) if t == END)
-    before = np.zeros((n, CONTEXTS), np.int32)
-    for r, total in _gather(learn.select("ids").mapInArrow(_before(n, ends), "row long, data binary"), ["row"], lambda _, d: np.frombuffer(d, np.int32), np.int32):
+    before = np.zeros((-(-n // ITEMS), ITEMS * CONTEXTS), np.int32)
+    for r, total in _gather(learn.select("ids").mapInArrow(_before(n, ends), "row long, data binary"), ["row"], _dense, np.int32):
         before[r] = total
+    before = before.reshape(-1, CONTEXTS)[:n]
     model = Model(items, classes_of(items, before), n_train)
     del before
     train(learn, model, n_train, rounds)

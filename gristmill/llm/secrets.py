@@ -1,21 +1,33 @@
 """Secret scans with multipart credential linking.
 
-Every text is scanned for parts of credentials: access identifiers, secrets and
+Every text is scanned whole for parts of credentials: identifiers, secrets and
 endpoints.  Some are findings by themselves (the base kinds: assigned passwords
-and tokens, AKIA identifiers, long hex runs).  Weak candidates, such as any
-40-character base64 run or any host name, are reported only when parts of the
-complementary kinds lie within one scope: an interval join, per text, of the
-scopes around the parts that carry them.
-
-Null and empty texts have no spans.  Spans are code points, end exclusive.  Equal
-rows have equal results.
+and tokens, AKIA identifiers, long hex runs).  Weak candidates are reported only
+when parts of the complementary kinds lie within one scope, SCOPE code points on
+either side: an interval join, per text, of the candidates with the scopes of all
+other parts, both ways.
+
+- ``secret``, a bare run of 40 base64 characters (or 86 and ``==``): beside an AKIA
+  identifier, or beside an assigned identifier and an endpoint.
+- ``identifier``, an assigned client, user, account, tenant or key id: beside an
+  assigned secret, or beside a bare secret and an endpoint.
+- ``endpoint``, an address with a scheme: beside an assigned secret, or beside any
+  identifier and any secret.
+
+A bare secret or identifier that overlaps a base span, or a bare secret that overlaps
+an identifier, is no part of its own.
+
+Null and empty texts have no spans.  Very long texts are scanned whole, in time
+linear in their length but for sorting the parts found.  Spans are code points, end
+exclusive; of parts that start together, kinds go in their listed order.  Equal rows
+have equal results; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,72 +39,88 @@ from .common import slices, text_of, utf8
 # The base kinds, in the order in which they are listed.
 BASE = ("assign", "access", "hex")
 #: Kinds that linking adds, listed after the base kinds.
-LINKED = ("secret", "endpoint")
+LINKED = ("secret", "identifier", "endpoint")
 KINDS = BASE + LINKED
+ASSIGN_, ACCESS_, HEX_, SECRET_, IDENTIFIER_, ENDPOINT_ = range(6)
 # The patterns run over UTF-8 bytes with A-Z lower-cased where case does not count.
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([a-z0-9+/_.=-]+)""")
 WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]{24,}")
-#: Weak candidates: a bare 40-character secret, and a host with a scheme or of a cloud store.
-SECRET = re.compile(rb"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])")
-ENDPOINT = re.compile(rb"(?:https?|s3|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9._:@/-]+")
+#: Weak candidates.
+SECRET = re.compile(rb"(?<![A-Za-z0-9+/])(?:[A-Za-z0-9+/]{40}|[A-Za-z0-9+/]{86}==)(?![A-Za-z0-9+/=])")
+IDENTIFIER = re.compile(rb"""(?<![a-z0-9_-])(?:client_?id|app_?id|user(?:_?name)?|login|account(?:_?id)?|tenant(?:_?id)?|access_?key(?:_?id)?|key_?id)["']?\x20*[:=]\x20*["']?[a-z0-9._@+-]{3,}""")
+NAMES = (b"client", b"app", b"user", b"login", b"account", b"tenant", b"key")
+ENDPOINT = re.compile(rb"(?:https?|s3|gs|ftp|postgres(?:ql)?|mysql|mongodb|redis|amqps?)://[A-Za-z0-9._:@/-]+")
 LEAST_ASSIGN, LEAST_ACCESS = 6, 20
-#: Code points (here: bytes) on either side of an access identifier that are one scope.
+#: Code points on either side of a part that are its scope.
 SCOPE = 400
 
+Span = tuple[int, int, int]
+
 
-def base_spans(text: bytes) -> list[tuple[int, int, int]]:
+def base_spans(text: bytes, low: bytes) -> list[Span]:
     """(start, end, kind) in bytes."""
     out = []
-    low = text.lower()
     if any(w in low for w in WORDS):
-        out += [(m.start(), m.end(), 0) for m in ASSIGN.finditer(low) if m.end(2) - m.start(2) >= LEAST_ASSIGN]
+        out += [(m.start(), m.end(), ASSIGN_) for m in ASSIGN.finditer(low) if m.end(2) - m.start(2) >= LEAST_ASSIGN]
     if b"AKIA" in text:
-        out += [(m.start(), m.end(), 1) for m in ACCESS.finditer(text) if m.end() - m.start() >= LEAST_ACCESS]
-    out += [(m.start(), m.end(), 2) for m in HEX.finditer(text)]
+        out += [(m.start(), m.end(), ACCESS_) for m in ACCESS.finditer(text) if m.end() - m.start() >= LEAST_ACCESS]
+    out += [(m.start(), m.end(), HEX_) for m in HEX.finditer(text)]
     return sorted(out)
 
 
-def in_scope(starts: list[tuple[int, int]], spans: list[tuple[int, int]], scope: int) -> list[bool]:
-    """Interval join: whether each span meets the scope of any of the sorted, disjoint anchors."""
-    edges = [a for a, _ in starts]
-    out = []
-    for a, b in spans:
-        i = bisect_left(edges, b + scope)  # anchors that begin before the scope's end
-        out.append(i > 0 and starts[i - 1][1] + scope > a)
-    return out
+class Reach:
+    """Spans, to be met by others within a distance."""
 
+    def __init__(self, spans):
+        spans = sorted(spans)
+        self.starts = [s[0] for s in spans]
+        self.ends = list(accumulate((s[1] for s in spans), max))
 
-def linked_spans(text: bytes, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Weak candidates that complementary parts support: a bare secret beside an
-    access identifier, and an endpoint beside an identifier and any secret."""
-    ids = [(a, b) for a, b, k in base if k == 1]
-    if not ids:
+    def near(self, span, scope: int) -> bool:
+        """Whether at most `scope` lies between the span and one of these."""
+        i = bisect_right(self.starts, span[1] + scope)  # those that begin early enough
+        return i > 0 and self.ends[i - 1] + scope >= span[0]
+
+    def overlaps(self, span) -> bool:
+        i = bisect_right(self.starts, span[1] - 1)
+        return i > 0 and self.ends[i - 1] > span[0]
+
+
+def weak_spans(text: bytes, low: bytes, base: list[Span]) -> list[Span]:
+    """Candidates in bytes; none where no rule could report any."""
+    hosts = [(*m.span(), ENDPOINT_) for m in ENDPOINT.finditer(text)] if b"://" in text else []
+    access = any(k == ACCESS_ for _, _, k in base)
+    if not (access or hosts or any(k == ASSIGN_ for _, _, k in base)):
         return []
-    taken = _merged([(a, b) for a, b, k in base])
-    # over the whole text: a slice would cut parts that reach over its edges
-    weak = [m.span() for m in SECRET.finditer(text)]
-    weak = [s for s, met in zip(weak, in_scope(taken, weak, 0), strict=True) if not met]
-    secrets = [s for s, ok in zip(weak, in_scope(ids, weak, SCOPE), strict=True) if ok]
-    every = sorted(secrets + [(a, b) for a, b, k in base if k != 1])
-    hosts = [m.span() for m in ENDPOINT.finditer(text)]
-    near = in_scope(ids, hosts, SCOPE)
-    ends = [s for s, a, b in zip(hosts, near, in_scope(_merged(every), hosts, SCOPE), strict=True) if a and b]
-    return [(a, b, 3) for a, b in secrets] + [(a, b, 4) for a, b in ends]
-
-
-def _merged(spans):
-    out: list[tuple[int, int]] = []
-    for a, b in spans:
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
-
-
-def _points(text: bytes, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    taken = Reach(base)
+    named = [(*m.span(), IDENTIFIER_) for m in IDENTIFIER.finditer(low)] if any(n in low for n in NAMES) else []
+    named = [s for s in named if not taken.overlaps(s)]
+    bare = []
+    if access or (named and hosts):
+        taken = Reach(base + named)
+        bare = [(*m.span(), SECRET_) for m in SECRET.finditer(text)]
+        bare = [s for s in bare if not taken.overlaps(s)]
+    return bare + named + hosts
+
+
+def linked(base: list[Span], weak: list[Span], scope: int = SCOPE) -> list[Span]:
+    """The weak candidates that complementary parts within their scope support."""
+    parts: dict[int, list[Span]] = {k: [] for k in range(len(KINDS))}
+    for s in base + weak:
+        parts[s[2]].append(s)
+    reach = {k: Reach(v) for k, v in parts.items()}
+    beside = lambda s, *kinds: any(reach[k].near(s, scope) for k in kinds)
+    rules = {
+        SECRET_: lambda s: beside(s, ACCESS_) or (beside(s, IDENTIFIER_) and beside(s, ENDPOINT_)),
+        IDENTIFIER_: lambda s: beside(s, ASSIGN_) or (beside(s, SECRET_) and beside(s, ENDPOINT_)),
+        ENDPOINT_: lambda s: beside(s, ASSIGN_) or (beside(s, ACCESS_, IDENTIFIER_) and beside(s, SECRET_, HEX_)),
+    }
+    return [s for s in weak if rules[s[2]](s)]
+
+
+def _points(text: bytes, spans: list[Span]) -> list[Span]:
     """Byte spans as code point spans, in one walk over the text."""
     if not spans or text.isascii():
         return spans
@@ -104,13 +132,15 @@ def _points(text: bytes, spans: list[tuple[int, int, int]]) -> list[tuple[int, i
     return [(place[a], place[b], k) for a, b, k in spans]
 
 
-def scan(text: bytes) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+def scan(text: bytes) -> tuple[list[Span], list[Span]]:
     """Base spans and all spans of a text, as code points, by start and then kind."""
-    base = base_spans(text)
-    both = base + linked_spans(text, base)
-    points = _points(text, both)
+    low = text.lower()
+    base = base_spans(text, low)
+    weak = weak_spans(text, low, base)
+    points = _points(text, base + weak)
+    base, weak = points[: len(base)], points[len(base) :]
     order = lambda x: (x[0], x[2])
-    return sorted(points[: len(base)], key=order), sorted(points, key=order)
+    return sorted(base, key=order), sorted(base + linked(base, weak), key=order)
 
 
 def render(spans) -> str:
@@ -123,7 +153,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def task(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = [scan(x) for x in utf8(batch.column("text"))]
             named = [[[{"kind": KINDS[k], "start": a, "end": b} for a, b, k in part] for part in pair] for pair in found]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([x[0] for x in named], span), pa.array([x[1] for x in named], span)], ["id", "base", "spans"])

@@ -7,16 +7,20 @@ is cut alike wherever it stands, but for CUT - 1 words at either end.  From ever
 piece a span runs on until it has PIECES pieces and WORDS words, and then to the end
 of its sentence if that is at most CUT words away, so that whole sentences go whole.
 Spans are hashed (128 bits) by their words and joined globally; every piece covered
-by a repeated span is removed, except where the span is first: in the smallest
-doc_id, at its first place there.  A repeated passage of 51 words always holds a
+by a repeated span is removed, except where the span is first: in the first document
+(by doc_id, null last, and then by the text's hash), at its first place there.  A repeated passage of 51 words always holds a
 whole span, wherever it stands.
 
-A task sends each span of a document once, and counts meet on the map side first,
-so a passage in a third of all documents costs one row a task.  Only spans that
-pass a filter of the repeated ones are shuffled again; it has a fixed most size, and
-where it is overfilled more spans pass and the results stay the same.  Null texts count as
-empty; texts shorter than a span lose nothing; rows equal in doc_id and text count
-as one document.  A null doc_id is never first.
+A first pass hashes the spans and writes them down; their hashes alone go to owners,
+whose once-seen filters tell which were met before, and these make the twice-seen
+filter (see ``blooms``).  Only spans that pass it are shuffled, counted by whole hash
+and joined.  A passage in a third of all documents costs the count a row a task, and
+the join broadcasts it.
+
+Null texts count as empty; texts shorter than a span lose nothing; very long texts are
+cut and hashed whole; rows equal in doc_id and text count as one document and lose the
+same; rows that share only a doc_id, or have none, are documents of their own.  An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,12 +34,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_ROWS, hot_join, materialize, slices, text_of, utf8
+from . import blooms
+from .common import BROADCAST_ROWS, discard, hot_join, materialize, slices, text_of, utf8
 
 PIECES, WORDS = 3, 20
 CUT = 6
-#: Bits of the filter of repeated spans for each of them, between the two powers of two, and bytes of one block (2^16 bits).
-BITS, LEAST_LOG2, MOST_LOG2, BLOCK = 12, 17, 28, 1 << 13
 SENTENCE = re.compile(rb"[^.!?\n]*(?:[.!?]+(?=\s|$)|\n|$|[.!?]+)")
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
@@ -121,7 +124,7 @@ def spans(text: bytes) -> tuple[list[tuple[int, int, int]], np.ndarray, np.ndarr
 def _sent(batches):
     """(id, h, h1, h2) of the distinct spans of each text; a text that repeats a
     span within itself has one more row, without a hash."""
-    for batch in batches:
+    for batch in slices(batches):
         at, every, own = [], [], []
         for i, text in enumerate(utf8(batch.column("text"))):
             _, h, _ = spans(text)
@@ -138,47 +141,12 @@ def _sent(batches):
             yield pa.RecordBatch.from_arrays([batch.column("id").take(rows), batch.column("h").take(rows), *hashes], ["id", "h", "h1", "h2"])
 
 
-def _places(h: np.ndarray, log2: int) -> list[np.ndarray]:
-    """Two bits of the filter for each hash, both in the block that its highest bits name."""
-    h = h.view(np.uint64)
-    at = (h >> np.uint64(64 - log2)).astype(np.int64)
-    with np.errstate(over="ignore"):
-        return [at, at >> 16 << 16 | (h * np.uint64(FACTORS[0]) >> np.uint64(48)).astype(np.int64)]
-
-
-def _filter(table: DataFrame) -> tuple[int, bytes]:
-    """log2 of the bits, and the filter of the hashes h1 of a table: 2^MOST_LOG2
-    bits (32 MB) at most, so the driver can hold and broadcast it."""
-    spark = table.sparkSession
-    log2 = int(np.clip(np.ceil(np.log2(max(1, table.count()) * BITS)), LEAST_LOG2, MOST_LOG2))
-
-    def build(batches):
-        bits = np.zeros(1 << log2, bool)
-        for batch in batches:
-            for at in _places(batch.column("h1").to_numpy(), log2):
-                bits[at] = True
-        packed = np.packbits(bits, bitorder="little")
-        for k in range(0, len(packed), BLOCK):
-            if packed[k : k + BLOCK].any():
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([packed[k : k + BLOCK].tobytes()], pa.binary())], ["at", "bits"])
-
-    # the hashes of a block meet in one task, so each block is sent once
-    tasks = max(1, min(1 << (log2 - 16), 4 * spark.sparkContext.defaultParallelism))
-    ranges = table.select("h1").repartition(tasks, F.shiftrightunsigned("h1", 64 - (log2 - 16)))
-    out = np.zeros(1 << (log2 - 3), np.uint8)
-    for row in ranges.mapInArrow(build, "at long, bits binary").toLocalIterator():
-        out[row["at"] : row["at"] + len(row["bits"])] |= np.frombuffer(row["bits"], np.uint8)
-    return log2, out.tobytes()
-
-
 def _passing(shared):
     def task(batches):
         log2, raw = shared.value
-        bits = np.frombuffer(raw, np.uint8)
+        twice = log2, np.frombuffer(raw, np.uint8)
         for batch in batches:
-            hit = np.ones(batch.num_rows, bool)
-            for at in _places(batch.column("h1").to_numpy(), log2):
-                hit &= (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+            hit = blooms.passes(twice, batch.column("h1").to_numpy())
             if hit.any():
                 yield batch.filter(pa.array(hit))
 
@@ -232,12 +200,17 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sent = slim.mapInArrow(_sent, T.StructType([slim.schema["id"], T.StructField("h", long), T.StructField("h1", long), T.StructField("h2", long)]))
     sent = materialize(sent, "spans")
     shared = sent.where("h1 is not null")
-    table = materialize(shared.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").withColumnRenamed("h2", "g2"), "repeated")
+    repeated = materialize(blooms.repeats(shared.select(F.col("h1").alias("h")), shared.count()), "repeated-hashes")
+    twice = blooms.twice_seen(repeated)
+    discard(repeated)
+    passing = materialize(shared.mapInArrow(_passing(docs.sparkSession.sparkContext.broadcast(twice)), shared.schema), "suspects")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "h")
+    table = passing.groupBy("h1", "h2").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").withColumnRenamed("h2", "g2")
+    table = materialize(table, "repeated")
     total = table.agg(F.sum("n")).first()[0] or 0
     # h1 alone is the join key; two spans that share it are told apart by the other half
-    passing = shared.mapInArrow(_passing(docs.sparkSession.sparkContext.broadcast(_filter(table))), shared.schema)
-    passing = materialize(passing, "suspects")
-    hits = hot_join(passing, table, "h1", "n", total).where((F.col("h2") == F.col("g2")) & ~F.col("first").eqNullSafe(F.col("id")))
+    elsewhere = ~(F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.h") == F.col("h")))
+    hits = hot_join(passing, table, "h1", "n", total).where((F.col("h2") == F.col("g2")) & elsewhere)
     within = sent.where("h1 is null").select("id", "h", F.lit(None).cast("string").alias("key"))
     hits = hits.select("id", "h", F.concat_ws(":", "h1", "h2").alias("key")).unionByName(within)
     drops = materialize(hits.groupBy(F.col("id").alias("i2"), F.col("h").alias("hh")).agg(F.collect_set("key").alias("keys")), "drops")
@@ -247,7 +220,7 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     same = lambda other: slim["id"].eqNullSafe(other["i2"]) & (slim["h"] == other["hh"])
 
     def rewrite(batches):
-        for batch in batches:
+        for batch in slices(batches):
             made = []
             for text, keys in zip(utf8(batch.column("text")), batch.column("keys").to_pylist(), strict=True):
                 mine = {tuple(map(int, k.split(":"))) for k in keys}
@@ -255,7 +228,7 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield _rows(batch.column("id"), made)
 
     def as_it_is(batches):
-        for batch in batches:
+        for batch in slices(batches):
             yield _rows(batch.column("id"), [(text, len(_pieces(text)[0]), 0, []) for text in utf8(batch.column("text"))])
 
     # Each text goes to exactly one of the two.
