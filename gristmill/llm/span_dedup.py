@@ -122,23 +122,24 @@ def spans(text: bytes) -> tuple[list[tuple[int, int, int]], np.ndarray, np.ndarr
 
 
 def _sent(batches):
-    """(id, h, h1, h2) of the distinct spans of each text; a text that repeats a
-    span within itself has one more row, without a hash."""
+    """(id, h, h1, h2, k) of the distinct spans of each text, k being the number of the
+    span's first place; a text that repeats a span within itself has one more row,
+    without a hash."""
     for batch in slices(batches):
-        at, every, own = [], [], []
+        at, every, places, own = [], [], [], []
         for i, text in enumerate(utf8(batch.column("text"))):
             _, h, _ = spans(text)
-            if len(h):
-                n = len(h)
-                h = np.unique(h, axis=0) if n > 1 else h
+            if n := len(h):
+                h, k = np.unique(h, axis=0, return_index=True) if n > 1 else (h, np.zeros(1, np.int64))
                 if len(h) < n:
                     own.append(i)
                 at.append(np.full(len(h), i))
                 every.append(h)
+                places.append(k)
         if every:
             h, rows = np.concatenate(every).view(np.int64), pa.array(np.concatenate([*at, np.array(own, np.int64)]))
-            hashes = [pa.concat_arrays([pa.array(h[:, k]), pa.nulls(len(own), pa.int64())]) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([batch.column("id").take(rows), batch.column("h").take(rows), *hashes], ["id", "h", "h1", "h2"])
+            made = [pa.concat_arrays([pa.array(x), pa.nulls(len(own), x.dtype.name)]) for x in (h[:, 0], h[:, 1], np.concatenate(places).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(rows), batch.column("h").take(rows), *made], ["id", "h", "h1", "h2", "k"])
 
 
 def _passing(shared):
@@ -153,17 +154,18 @@ def _passing(shared):
     return task
 
 
-def removed(text: bytes, first_here) -> tuple[bytes, int, int, list[tuple[int, int]]]:
-    """Kept text, sentences, removed ones and the removed byte spans.
-    first_here(hashes) gives, a span, whether it is repeated and first elsewhere;
-    repeats within the text are found here."""
+def removed(text: bytes, places) -> tuple[bytes, int, int, list[tuple[int, int]]]:
+    """Kept text, sentences, removed ones and the removed byte spans.  places are the
+    numbers of the spans that are first elsewhere; repeats within the text are found
+    here."""
     parts, h, stops = spans(text)
     if not len(h):
         return text, len(parts), 0, []
-    bad = np.asarray(first_here(h))
     _, first, inverse = np.unique(h, axis=0, return_index=True, return_inverse=True)
-    if len(first) < len(h):
-        bad = bad | (first[inverse.ravel()] != np.arange(len(h)))
+    first = first[inverse.ravel()]
+    bad = np.zeros(len(h), bool)
+    bad[np.asarray(places, np.int64)] = True
+    bad = bad[first] | (first != np.arange(len(h)))
     if not bad.any():
         return text, len(parts), 0, []
     cover = np.zeros(len(parts) + 1, np.int64)
@@ -197,7 +199,7 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     long as the ids of those that do are few enough to broadcast."""
     slim = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("h"), text_of(text_col).alias("text"))
     long = T.LongType()
-    sent = slim.mapInArrow(_sent, T.StructType([slim.schema["id"], T.StructField("h", long), T.StructField("h1", long), T.StructField("h2", long)]))
+    sent = slim.mapInArrow(_sent, T.StructType([slim.schema["id"], T.StructField("h", long), T.StructField("h1", long), T.StructField("h2", long), T.StructField("k", T.IntegerType())]))
     sent = materialize(sent, "spans")
     shared = sent.where("h1 is not null")
     repeated = materialize(blooms.repeats(shared.select(F.col("h1").alias("h")), shared.count()), "repeated-hashes")
@@ -211,20 +213,21 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # h1 alone is the join key; two spans that share it are told apart by the other half
     elsewhere = ~(F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.h") == F.col("h")))
     hits = hot_join(passing, table, "h1", "n", total).where((F.col("h2") == F.col("g2")) & elsewhere)
-    within = sent.where("h1 is null").select("id", "h", F.lit(None).cast("string").alias("key"))
-    hits = hits.select("id", "h", F.concat_ws(":", "h1", "h2").alias("key")).unionByName(within)
-    drops = materialize(hits.groupBy(F.col("id").alias("i2"), F.col("h").alias("hh")).agg(F.collect_set("key").alias("keys")), "drops")
+    hits = hits.select("id", "h", "k").unionByName(sent.where("h1 is null").select("id", "h", "k"))
+    drops = materialize(hits.groupBy(F.col("id").alias("i2"), F.col("h").alias("hh")).agg(F.collect_set("k").alias("ks")), "drops")
     schema = T.StructType([slim.schema["id"], T.StructField("n_sentences", long), T.StructField("n_removed", long), T.StructField("kept_sha256", T.StringType()), T.StructField("text", T.StringType())])
-    touched = drops.select("i2", "hh")
-    touched = F.broadcast(touched) if touched.count() <= broadcast_rows else touched
+    touched, size = drops.select("i2", "hh"), drops.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("ks")).alias("k")).first()
+    if size["n"] <= broadcast_rows:
+        touched = F.broadcast(touched)
+        # a place takes 4 bytes, so 8 rows' worth of places are about one row
+        drops = F.broadcast(drops) if (size["k"] or 0) <= 8 * broadcast_rows else drops
     same = lambda other: slim["id"].eqNullSafe(other["i2"]) & (slim["h"] == other["hh"])
 
     def rewrite(batches):
         for batch in slices(batches):
             made = []
-            for text, keys in zip(utf8(batch.column("text")), batch.column("keys").to_pylist(), strict=True):
-                mine = {tuple(map(int, k.split(":"))) for k in keys}
-                made.append(removed(text, lambda h, mine=mine: np.array([tuple(x) in mine for x in h.view(np.int64).tolist()], bool)))
+            for text, places in zip(utf8(batch.column("text")), batch.column("ks").to_pylist(), strict=True):
+                made.append(removed(text, places))
             yield _rows(batch.column("id"), made)
 
     def as_it_is(batches):
@@ -233,6 +236,6 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # Each text goes to exactly one of the two.
     whole = slim.join(touched, same(touched), "left_anti").select("id", "text").mapInArrow(as_it_is, schema)
-    cut = slim.join(touched, same(touched), "left_semi")
-    cut = cut.join(drops, cut["id"].eqNullSafe(drops["i2"]) & (cut["h"] == drops["hh"])).select("id", "text", "keys").mapInArrow(rewrite, schema)
+    cut = slim.join(touched, same(touched), "left_semi") if size["n"] > broadcast_rows else slim
+    cut = cut.join(drops, cut["id"].eqNullSafe(drops["i2"]) & (cut["h"] == drops["hh"])).select("id", "text", "ks").mapInArrow(rewrite, schema)
     return whole.unionByName(cut).withColumnRenamed("id", id_col)
