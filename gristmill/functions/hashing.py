@@ -6,7 +6,9 @@ hashes keep 60 bits and are never negative."""
 from __future__ import annotations
 
 import hashlib
+from itertools import combinations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,11 +27,6 @@ def md5_64(x) -> Column:
     return F.conv(F.substring(F.md5(col(x)), 1, 16), 16, -10).cast("long")
 
 
-@F.pandas_udf(T.LongType())
-def blake2b_64(x: pd.Series) -> pd.Series:
-    return x.map(lambda s: int.from_bytes(hashlib.blake2b((s or "").encode(), digest_size=8).digest(), "little", signed=True))
-
-
 def stride(count: Column, most: int) -> Column:
     return F.greatest(F.lit(1), F.ceil(count / most)).cast("int")
 
@@ -53,21 +50,81 @@ def windows(x, size: int = 80, step: int = 40) -> Column:
     return F.when(n >= 1, F.transform(F.sequence(F.lit(1), n, F.lit(step)), lambda i: F.substr(text, i, F.lit(size)))).otherwise(F.array().cast("array<string>"))
 
 
+#: 8-byte digests of a gram, by name: the first half of MD5, BLAKE2b, and BLAKE2b with the seed 0 before the gram.
+DIGESTS = {
+    "md5": lambda b: hashlib.md5(b).digest()[:8],
+    "blake2b": lambda b: hashlib.blake2b(b, digest_size=8).digest(),
+    "seeded": lambda b: hashlib.blake2b(bytes(8) + b, digest_size=8).digest(),
+}
+
+
+def simhash_of(text: str, size: int = 3, most: int = 256, window: int = 0, digest: str = "md5", distinct: bool = False, of_empty: bool = False) -> int:
+    """64-bit SimHash of a text's character grams, at most `most` at an even stride; a
+    shorter text is its own gram, an empty one too if of_empty, else it has 0.  Of a
+    text longer than `window` (if any) its ends count, joined by a marker.  A bit is
+    set on a tie."""
+    if window and len(text) > window:
+        text = text[: window // 2] + "\n<simhash-window>\n" + text[-(window // 2) :]
+    n = len(text) - size + 1
+    cut = [text[i : i + size] for i in range(0, n, max(1, -(-n // most)))] if n > 0 else [text] if text or of_empty else []
+    cut = set(cut) if distinct else cut
+    if not cut:
+        return 0
+    hash_ = DIGESTS[digest]
+    bits = np.unpackbits(np.frombuffer(b"".join(hash_(g.encode()) for g in cut), np.uint8).reshape(-1, 8), axis=1)
+    return int.from_bytes(np.packbits(2 * bits.sum(0, dtype=np.int64) >= len(bits)).tobytes(), "big", signed=True)
+
+
+def simhash(x, nfkc: bool = False, **how) -> Column:
+    """simhash_of as a Column, in Arrow batches; with nfkc, of the text's NFKC form."""
+    import unicodedata
+
+    @F.pandas_udf(T.LongType())
+    def sign(texts: pd.Series) -> pd.Series:
+        form = (lambda s: s if s.isascii() else unicodedata.normalize("NFKC", s)) if nfkc else (lambda s: s)
+        return texts.map(lambda s: simhash_of(form(s or ""), **how))
+
+    return sign(col(x))
+
+
 def hamming(a, b) -> Column:
     return F.bit_count(col(a).bitwiseXOR(col(b)))
 
 
+#: Blocks (first bit, bits) of a signature: of any three bits that differ, three blocks know nothing.
+BLOCKS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))
+
+
+def block_keys(sig) -> Column:
+    """(triple, value) structs: any three of the six BLOCKS together, about 32 bits each,
+    so that signatures up to three bits apart share one and few others do."""
+    s = col(sig)
+    cut = [F.shiftrightunsigned(s, at).bitwiseAND((1 << width) - 1) for at, width in BLOCKS]
+    triples = list(combinations(range(6), 3))
+    return F.array(*[F.struct(F.lit(i).alias("triple"), F.shiftleft(cut[a], 22).bitwiseOR(F.shiftleft(cut[b], 11)).bitwiseOR(cut[c]).alias("value")) for i, (a, b, c) in enumerate(triples)])
+
+
 def bands(sig, count: int = 4, width: int = 16) -> Column:
     """(band, value) structs of a 64-bit signature."""
     s = col(sig)
     return F.array(*[F.struct(F.lit(i).alias("band"), F.shiftrightunsigned(s, width * i).bitwiseAND((1 << width) - 1).alias("value")) for i in range(count)])
 
 
+#: The field of the MinHash permutations.
+PRIME = (1 << 31) - 1
+
+
+def permutations(rows: int) -> list[tuple[int, int]]:
+    """Factor and shift of each permutation h -> h * a + b of the field, drawn by MD5."""
+    draw = lambda kind, s: int(hashlib.md5(f"{kind}:{s}".encode()).hexdigest()[:7], 16)
+    return [(1 + draw("a", s), draw("b", s)) for s in range(rows)]
+
+
 def minhash(hashes, rows: int = 128) -> Column:
-    """Signature of 60-bit gram hashes under `rows` multiply-shift permutations of a prime field."""
-    prime = (1 << 31) - 1
-    low = F.transform(col(hashes), lambda h: F.pmod(h, F.lit(prime)))
-    return F.transform(F.sequence(F.lit(1), F.lit(rows)), lambda s: F.array_min(F.transform(low, lambda h: F.pmod(h * (s.cast("long") * 7919 + 1) + s.cast("long") * 104729, F.lit(prime)))))
+    """Signature of 60-bit gram hashes under `rows` random affine permutations of a prime field."""
+    low = F.transform(col(hashes), lambda h: F.pmod(h, F.lit(PRIME)))
+    pairs = F.array(*[F.struct(F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b")) for a, b in permutations(rows)])
+    return F.transform(pairs, lambda s: F.array_min(F.transform(low, lambda h: F.pmod(h * s["a"] + s["b"], F.lit(PRIME)))))
 
 
 def minhash_similarity(a, b) -> Column:

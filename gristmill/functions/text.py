@@ -12,6 +12,11 @@ from pyspark.sql import types as T
 
 #: White space as Unicode and Python see it; the separators U+001C-1F are no Java white space.
 SPACE = r"(?U)[\s\x1c-\x1f]+"
+#: The characters that SPACE matches.
+BLANKS = "".join(map(chr, (*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+#: Texts that NFKC leaves as they are and whose letters fold as ``casefold`` does: ASCII,
+#: Latin-1 without its compatibility characters, basic Cyrillic, kana, unified ideographs and plain quotes.
+STABLE = "^[\x00-\x7f¡-§©«¬®°±¶·»¿-ÿА-я–—‘’“”、。「」ぁ-ゖァ-ヺー一-鿿]*$"
 # The character classes and code markers of the language classifier.
 LATIN = "[A-Za-z]"
 HIRAGANA = "[぀-ゟ]"
@@ -30,7 +35,7 @@ def given(x) -> Column:
 
 
 def strip(x) -> Column:
-    return F.regexp_replace(col(x), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.btrim(col(x), F.lit(BLANKS))
 
 
 def collapse(x) -> Column:
@@ -43,15 +48,25 @@ def casefold(x) -> Column:
     return F.replace(F.lower(col(x)), F.lit("ß"), F.lit("ss"))
 
 
-def normalize(x) -> Column:
-    """Casefold and collapse: normal form of text that NFKC leaves as it is."""
-    return collapse(casefold(given(x)))
-
-
 @F.pandas_udf(T.StringType())
 def normalize_nfkc(x: pd.Series) -> pd.Series:
     """NFKC, casefold, collapse, for any text.  Spark has no NFKC."""
-    return x.map(lambda s: " ".join(unicodedata.normalize("NFKC", s or "").casefold().split()))
+    return x.map(lambda s: None if s is None else " ".join(unicodedata.normalize("NFKC", s).casefold().split()))
+
+
+def normalize(x) -> Column:
+    """NFKC, casefold, collapse.  Texts that NFKC leaves alone stay in the JVM; only the
+    others are sent to Python."""
+    text = given(x)
+    stable = text.rlike(STABLE)
+    return F.when(stable, collapse(casefold(text))).otherwise(normalize_nfkc(F.when(~stable, text)))
+
+
+def staged(df, **columns):
+    """df plus columns that are computed once a row.  The optimizer puts definitions in
+    place of names, once for each use, but not across a generator."""
+    made = F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
+    return df.select(*[F.col(f"`{c}`") for c in df.columns], made.alias("_staged")).select(*[F.col(f"`{c}`") for c in df.columns], "_staged.*")
 
 
 def filled(x) -> Column:

@@ -6,12 +6,15 @@ BROADCAST_EVAL rows go to every executor, and beyond that joins shuffle."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.hashing import band_keys, grams, hamming, md5_60, minhash, minhash_similarity, windows
+from ..functions.hashing import simhash as simhash_column
 from ..functions.text import given, normalize
-from .dedup import simhash
 
 # Benchmark names, by generation of the scan, and the thresholds of the near check.
 SIGNALS_1 = ("answercarefully", "mt-bench", "mt bench", "llm-jp instruction", "private holdout", "gsm8k", "humaneval", "mmlu")
@@ -27,6 +30,80 @@ def small(df: DataFrame, most: int = BROADCAST_EVAL) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+#: Most keys that ``probe`` broadcasts (8 bytes each), and code points that it hashes at once.
+PROBE_KEYS, PROBE_CHARS = 2_000_000, 1 << 20
+
+
+class EmptyContent(ValueError):
+    """An evaluation row without content cannot be fingerprinted."""
+
+
+def _rolling(codes: np.ndarray, size: int) -> np.ndarray:
+    """64-bit hashes of all windows of `size` code points."""
+    n = len(codes) - size + 1
+    h = np.zeros(n, np.uint64)
+    for j in range(size):
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        h += codes[j : j + n]
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    return h
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "replace"), "<u4").astype(np.uint64)
+
+
+def probe(cand: DataFrame, keys: DataFrame, size: int, most: int = PROBE_KEYS) -> DataFrame:
+    """(id, k): the distinct windows of `size` characters of candidates (id, norm), and
+    whole shorter texts, that are among the keys k, or seldom share a hash with one; a
+    join on k settles it.  Up to `most` keys are counted and their hashes broadcast, so
+    windows are tested where they stand and only the few that hit ever leave their row;
+    beyond that, windows meet the keys in a shuffle."""
+    distinct = keys.select("k").distinct()
+    if distinct.limit(most + 1).count() > most:
+        return cand.select("id", F.explode(grams("norm", size)).alias("k")).join(distinct, "k", "left_semi")
+
+    def hashed(batches):
+        for batch in batches:
+            h = [_rolling(c, len(c))[0] for c in map(_codes, batch.column("k").to_pylist()) if len(c)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(h, np.uint64).view(np.int64))], ["h"])
+
+    known = np.unique(distinct.where("k is not null").mapInArrow(hashed, "h long").toArrow()["h"].to_numpy().view(np.uint64))
+    log2 = int(np.clip(np.ceil(np.log2(max(1, len(known)))) + 5, 12, 26))
+    shared = cand.sparkSession.sparkContext.broadcast(known.tobytes())
+
+    def task(batches):
+        sorted_ = np.frombuffer(shared.value, np.uint64)
+        down = np.uint64(64 - log2)
+        maybe = np.zeros(1 << log2, bool)  # tells nearly all windows apart without a search
+        maybe[(sorted_ >> down).astype(np.int64)] = True
+
+        def hits(h):
+            at = np.flatnonzero(maybe[(h >> down).astype(np.int64)])
+            if not len(at):
+                return at
+            place = np.minimum(np.searchsorted(sorted_, h[at]), len(sorted_) - 1)
+            return at[sorted_[place] == h[at]]
+
+        for batch in batches:
+            rows, found = [], []
+            for i, text in enumerate(batch.column("norm").to_pylist() if len(sorted_) else []):
+                if not text:
+                    continue
+                codes, mine = _codes(text), set()
+                width = min(size, len(codes))
+                for start in range(0, len(codes) - width + 1, PROBE_CHARS):
+                    part = codes[start : start + PROBE_CHARS + width - 1]
+                    mine.update(text[start + p : start + p + width] for p in hits(_rolling(part, width)).tolist())
+                rows += [i] * len(mine)
+                found += mine
+            if rows:
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(rows, pa.int64())), pa.array(found, pa.string())], ["id", "k"])
+
+    return cand.select("id", "norm").mapInArrow(task, T.StructType([cand.schema["id"], T.StructField("k", T.StringType())]))
+
+
 def signal(text: Column, names=SIGNALS_1) -> Column:
     low = F.lower(given(text))
     return F.greatest(*[low.contains(n).cast("int") for n in names]) == 1
@@ -40,8 +117,8 @@ def substring_pairs(cand: DataFrame, evals: DataFrame) -> DataFrame:
     n = LEAST_SUBSTRING
     e = evals.where(F.length("norm") >= n)
     head = e.select(F.col("id").alias("eval_id"), F.substring("norm", 1, n).alias("k"))
-    # Only ids travel with the grams; texts are attached to the few pairs that meet.
-    meet = cand.select("id", F.explode(grams("norm", n)).alias("k")).join(small(head), "k").select("id", "eval_id")
+    # Only ids travel with the windows that hit; texts are attached to the few pairs that meet.
+    meet = probe(cand, head, n).join(small(head), "k").select("id", "eval_id")
     # a candidate inside an eval text: of full length by its own first characters, shorter ones by all of theirs
     long = cand.where(F.length("norm") >= n).select("id", F.substring("norm", 1, n).alias("k"))
     parts = e.select(F.col("id").alias("eval_id"), F.explode(grams("norm", n)).alias("k"))
@@ -60,8 +137,8 @@ def substring_pairs(cand: DataFrame, evals: DataFrame) -> DataFrame:
 
 def gram_overlap(cand: DataFrame, evals: DataFrame, size: int = GRAM) -> DataFrame:
     """ids of candidates that share a character gram with any eval text."""
-    g = evals.select(F.explode(grams("norm", size)).alias("g")).distinct()
-    return cand.select("id", F.explode(grams("norm", size)).alias("g")).join(g, "g", "left_semi").select("id").distinct()
+    k = evals.select(F.explode(grams("norm", size)).alias("k")).distinct()
+    return probe(cand, k, size).join(small(k, 200_000), "k", "left_semi").select("id").distinct()
 
 
 def scan(cand: DataFrame, evals: DataFrame) -> DataFrame:
@@ -98,17 +175,39 @@ def window_matches(cand: DataFrame, evals: DataFrame, exhaustive: bool = True) -
         return c.join(small(e), "w").select("id", "eval_id").distinct()
     # A text that holds a window holds its first PROBE characters: pairs meet on those, and only they are compared.
     e = e.withColumn("k", F.substring("w", 1, PROBE))
-    meet = cand.select("id", F.explode(grams("norm", PROBE)).alias("k")).join(small(e), "k").select("id", "eval_id", "w").distinct()
+    meet = probe(cand, e, PROBE).join(small(e), "k").select("id", "eval_id", "w").distinct()
     return meet.join(cand.select("id", "norm"), "id").where(F.col("norm").contains(F.col("w"))).select("id", "eval_id").distinct()
 
 
+def fingerprint_simhash(norm, digest: str = "seeded") -> Column:
+    """The published signature of normalised text: distinct 3-grams, at most 256, 0 of an empty text."""
+    return simhash_column(norm, digest=digest, distinct=True)
+
+
+def fingerprint_index(evals: DataFrame) -> DataFrame:
+    """One row an evaluation text (id, text, prompt) without its content: hashes,
+    MinHash, SimHash and length, to be written as Parquet and read by later scans.  A
+    row without content is an error."""
+    n = evals.select("id", normalize("text").alias("norm"), normalize("prompt").alias("pnorm"))
+    require_content(n)
+    sig = n.withColumn("hs", F.transform(grams("norm", GRAM, 64), md5_60))
+    return sig.select(
+        "id", F.sha2("norm", 256).alias("content_hash"), F.when(F.col("pnorm") != "", F.sha2("pnorm", 256)).otherwise("").alias("prompt_hash"), minhash("hs").alias("minhash"),
+        F.lower(F.lpad(F.hex(fingerprint_simhash("norm")), 16, "0")).alias("simhash"), F.length("norm").cast("long").alias("normalized_length"),
+    )
+
+
+def require_content(normalized: DataFrame) -> None:
+    if normalized.where("norm = ''").limit(1).count():
+        raise EmptyContent("empty normalized content is forbidden for a fingerprint")
+
+
 def near_pairs(cand: DataFrame, evals: DataFrame) -> DataFrame:
     """(id, eval_id, similarity, evidence) of near matches: MinHash with bands, and
     SimHash, each with its length ratio.  Candidates come from shared bands or grams."""
     def signed(df, id_):
-        s = simhash(df.select(F.col("id").alias(id_), "norm"), id_, F.col("norm"), most=512)
-        m = df.select(F.col("id").alias(id_), F.length("norm").alias("len"), F.transform(grams("norm", GRAM, 64), md5_60).alias("hs"))
-        return m.join(s, id_).withColumn("mh", minhash("hs")).drop("hs")
+        m = df.select(F.col("id").alias(id_), F.length("norm").alias("len"), fingerprint_simhash("norm").alias("simhash"), F.transform(grams("norm", GRAM, 64), md5_60).alias("hs"))
+        return m.withColumn("mh", minhash("hs")).drop("hs")
 
     a, b = signed(cand, "id"), signed(evals, "eval_id")
     key = lambda df, id_: df.select(F.col(id_), F.explode(band_keys("mh")).alias("k"))
@@ -128,10 +227,11 @@ def near_pairs(cand: DataFrame, evals: DataFrame) -> DataFrame:
 def classify(cand: DataFrame, evals: DataFrame, exhaustive: bool = True, near: bool = True) -> DataFrame:
     """Statuses of (id, text, prompt) against evals (id, text, prompt): id, status,
     reasons (array), similarity, matched_eval_ids (sorted).  Empty candidates are
-    excluded_empty_projection; empty evals are left out.  Only rows that no exact
-    key settles go on to the near check."""
+    excluded_empty_projection; an eval row without content is an error.  Only rows that
+    no exact key settles go on to the near check."""
     c = cand.select("id", normalize("text").alias("norm"), normalize("prompt").alias("pnorm"), signal(F.col("text"), SIGNALS_2).alias("named"))
-    e = evals.select("id", normalize("text").alias("norm"), normalize("prompt").alias("pnorm")).where("norm <> ''")
+    e = evals.select("id", normalize("text").alias("norm"), normalize("prompt").alias("pnorm"))
+    require_content(e)
     kinds = [
         (1, "full_content_sha256", c.select("id", F.col("norm").alias("k")).join(small(e.select(F.col("id").alias("eval_id"), F.col("norm").alias("k"))), "k").select("id", "eval_id")),
         (2, "prompt_sha256", c.where("pnorm <> ''").select("id", F.col("pnorm").alias("k")).join(small(e.where("pnorm <> ''").select(F.col("id").alias("eval_id"), F.col("pnorm").alias("k"))), "k").select("id", "eval_id")),

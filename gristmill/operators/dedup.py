@@ -8,15 +8,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.hashing import bands, grams, hamming, md5_64
+from ..functions import hashing
 from ..functions.text import given
 
 
-def winner_order(order_col: str = "seq") -> list[Column]:
-    """Best first: revision known, license known, schema complete, quality, dataset,
-    row id, all descending; of equals the row that comes first."""
+def winner_rank(order_col: str = "seq") -> Column:
+    """Greater is better: revision known, license known, schema complete, quality,
+    dataset, row id; of equals the row that comes first."""
     known = lambda c: (given(c) != "").cast("int") * (given(c) != "unknown").cast("int")
-    return [known("source_revision").desc(), known("license_raw").desc(), F.col("schema_complete").cast("int").desc(), F.col("quality_score").desc(), F.col("source_dataset").desc(), F.col("source_row_id").desc(), F.col(order_col).asc()]
+    parts = [known("source_revision"), known("license_raw"), F.coalesce(F.col("schema_complete").cast("int"), F.lit(0)), F.coalesce(F.col("quality_score").cast("double"), F.lit(0.0)), given("source_dataset"), given("source_row_id"), -F.col(order_col)]
+    return F.struct(*[p.alias(f"_{i}") for i, p in enumerate(parts)])
+
+
+def exact_deduplicate(records: DataFrame, order_col: str = "seq", id_col: str = "record_id") -> DataFrame:
+    """Eligible records plus duplicate_cluster, copies, winner_id, is_winner and
+    duplicate_of (null for winners): of each content_hash the record of the best
+    winner_rank stays.  The winner is one aggregation that combines on the map side;
+    its table is joined back by AQE, which splits skewed hashes."""
+    eligible = records.where(F.coalesce(F.col("eligibility"), F.lit(False)))
+    best = eligible.groupBy(F.col("content_hash").alias("_h")).agg(F.max_by(F.col(id_col), winner_rank(order_col)).alias("winner_id"), F.count(F.lit(1)).alias("copies"))
+    out = eligible.join(best, F.col("content_hash") == F.col("_h")).drop("_h")
+    won = F.col("winner_id") == F.col(id_col)
+    return out.withColumns({"duplicate_cluster": F.concat(F.lit("exact:"), F.col("content_hash")), "is_winner": won, "duplicate_of": F.when(~won, F.col("winner_id"))})
 
 
 def keep_best(df: DataFrame, key: str, best: list[tuple[str, bool]], id_col: str) -> DataFrame:
@@ -36,39 +49,27 @@ def running_winner(df: DataFrame, key: str, rank: list[Column], order: str, id_c
     return df.withColumn("duplicate_of", best["id"])
 
 
-def simhash(df: DataFrame, id_col: str, text: Column, size: int = 3, most: int = 256) -> DataFrame:
-    """(id_col, simhash): 64-bit SimHash of character grams, at most `most` at an
-    even stride, a bit set on a tie.  Votes are counted by a hash aggregation over
-    exploded grams, which combines on the map side; texts without grams have 0."""
-    if most >= 1 << 15:
-        raise ValueError("a vote is counted in 16 bits")
-    g = df.select(F.col(id_col), F.monotonically_increasing_id().alias("_row"), F.explode(grams(text, size, most, distinct=False)).alias("g"))
-    h = g.select(id_col, "_row", md5_64("g").alias("h"))
-    # Four bits vote in one sum, 16 bits apart: 16 sums instead of 64 keep the aggregation's code small enough to compile.
-    lanes = F.lit(0x0001000100010001)
-    rows = h.groupBy(id_col, "_row").agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.shiftrightunsigned("h", i).bitwiseAND(lanes)).alias(f"b{i}") for i in range(16)])
-    # An id may have any number of rows, so their votes are summed 32 bits apart.
-    wide = F.lit(0x0000FFFF0000FFFF)
-    votes = rows.groupBy(id_col).agg(F.sum("n").alias("n"), *[F.sum(F.shiftrightunsigned(f"b{i % 16}", i // 16 * 16).bitwiseAND(wide)).alias(f"w{i}") for i in range(32)])
-    sig = F.lit(0).cast("long")
-    for i in range(64):
-        count = F.shiftrightunsigned(f"w{i % 32}", i // 32 * 32).bitwiseAND(0xFFFFFFFF)
-        sig = sig.bitwiseOR(F.when(2 * count >= F.col("n"), F.shiftleft(F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
-    made = votes.select(F.col(id_col).alias("_id"), sig.alias("simhash"))
-    return df.select(id_col).join(made, F.col(id_col) == F.col("_id"), "left").select(id_col, F.coalesce("simhash", F.lit(0).cast("long")).alias("simhash"))
+def simhash(df: DataFrame, id_col: str, text: Column, **how) -> DataFrame:
+    """(id_col, simhash) of each row: hashing.simhash of the text."""
+    return df.select(F.col(id_col), hashing.simhash(given(text), **how).alias("simhash"))
+
+
+def simhash_text(df: DataFrame, id_col: str, text: Column, digest: str = "blake2b") -> DataFrame:
+    """The published document signature: NFKC, the ends of texts over 4,096 characters, 256 grams, BLAKE2b."""
+    return simhash(df, id_col, text, nfkc=True, window=4096, digest=digest, of_empty=True)
 
 
 def near_edges(sigs: DataFrame, id_col: str, limit: int = 3) -> DataFrame:
     """Pairs (sig_a, sig_b) of distinct signatures at most `limit` bits apart,
-    sig_a < sig_b.  limit + 1 bands make the join lossless up to that distance:
-    some band is untouched.  Copies of a signature are one row here."""
+    sig_a < sig_b.  They meet on three of six blocks, about 32 bits, of which some
+    three are untouched.  Copies of a signature are one row here."""
     if limit > 3:
-        raise ValueError("four 16-bit bands find pairs up to three bits apart")
+        raise ValueError("three of six blocks find pairs up to three bits apart")
     distinct = sigs.select("simhash").distinct()
-    keyed = distinct.select("simhash", F.explode(bands("simhash")).alias("k")).select("simhash", "k.band", "k.value")
-    other = keyed.select(F.col("simhash").alias("sig_b"), "band", "value")
-    pairs = keyed.withColumnRenamed("simhash", "sig_a").join(other, ["band", "value"]).where("sig_a < sig_b")
-    return pairs.where(hamming("sig_a", "sig_b") <= limit).select("sig_a", "sig_b", hamming("sig_a", "sig_b").alias("distance")).distinct()
+    keyed = distinct.select("simhash", F.explode(hashing.block_keys("simhash")).alias("k")).select("simhash", "k.triple", "k.value")
+    other = keyed.select(F.col("simhash").alias("sig_b"), "triple", "value")
+    pairs = keyed.withColumnRenamed("simhash", "sig_a").join(other, ["triple", "value"]).where("sig_a < sig_b")
+    return pairs.where(hashing.hamming("sig_a", "sig_b") <= limit).select("sig_a", "sig_b", hashing.hamming("sig_a", "sig_b").alias("distance")).distinct()
 
 
 def greedy_near(sigs: DataFrame, id_col: str, limit: int = 3) -> DataFrame:

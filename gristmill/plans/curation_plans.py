@@ -17,17 +17,30 @@ def _docs(spark, d):
     return table(spark, d, "documents").select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"))
 
 
-@query("ded3_exact_dedup", f"with {_DOC} select doc_id, h as content_hash, first_value(doc_id) over w as winner_id, count(*) over (partition by h) as copies, doc_id = first_value(doc_id) over w as is_winner from d window w as (partition by h order by n desc, doc_id)")
+_REC = """
+r as (select doc_id as record_id, sha256(coalesce(text, '')) as content_hash, doc_id % 7 <> 0 as eligibility, doc_id as seq, case doc_id % 4 when 0 then 'unknown' when 1 then null else 'rev' end as source_revision,
+  case doc_id % 3 when 0 then 'mit' when 1 then 'unknown' end as license_raw, doc_id % 2 = 0 as schema_complete, (75 + doc_id % 5)::double as quality_score, coalesce(source, '') as source_dataset, doc_id::varchar as source_row_id from documents),
+e as (select *, first_value(record_id) over w as winner_id, count(*) over (partition by content_hash) as copies from r where eligibility
+  window w as (partition by content_hash order by coalesce(source_revision, '') not in ('', 'unknown') desc, coalesce(license_raw, '') not in ('', 'unknown') desc, schema_complete desc, quality_score desc, source_dataset desc, source_row_id desc, seq))"""
+
+
+def _records(spark, d):
+    """Documents as records, with made-up provenance that differs among copies."""
+    i = F.col("doc_id")
+    return table(spark, d, "documents").select(
+        i.alias("record_id"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("content_hash"), (i % 7 != 0).alias("eligibility"), i.alias("seq"), F.when(i % 4 == 0, "unknown").when(i % 4 > 1, "rev").alias("source_revision"),
+        F.when(i % 3 == 0, "mit").when(i % 3 == 1, "unknown").alias("license_raw"), (i % 2 == 0).alias("schema_complete"), (75 + i % 5).cast("double").alias("quality_score"), F.coalesce("source", F.lit("")).alias("source_dataset"), i.cast("string").alias("source_row_id"),
+    )
+
+
+@query("ded3_exact_dedup", f"with {_REC} select record_id, 'exact:' || content_hash as duplicate_cluster, copies, winner_id, record_id = winner_id as is_winner from e")
 def ded3(spark, d):
-    docs = _docs(spark, d).select("doc_id", F.sha2("text", 256).alias("content_hash"), F.length("text").alias("n"))
-    made = dedup.keep_best(docs, "content_hash", [("n", True), ("doc_id", False)], "doc_id")
-    return made.select("doc_id", "content_hash", "winner_id", "copies", "is_winner")
+    return dedup.exact_deduplicate(_records(spark, d)).select("record_id", "duplicate_cluster", "copies", "winner_id", "is_winner")
 
 
-@query("win1_keep_best", """select o_orderkey, o_custkey, o_orderkey = first_value(o_orderkey) over (partition by o_custkey order by case when o_orderstatus = 'O' then 0 else 1 end desc, o_totalprice desc, o_orderkey) as is_winner from orders""")
+@query("win1_keep_best", f"with {_REC} select record_id, case when record_id <> winner_id then winner_id end as duplicate_of from e")
 def win1(spark, d):
-    o = table(spark, d, "orders").withColumn("known", (F.col("o_orderstatus") != "O").cast("int"))
-    return dedup.keep_best(o, "o_custkey", [("known", True), ("o_totalprice", True), ("o_orderkey", False)], "o_orderkey").select("o_orderkey", "o_custkey", "is_winner")
+    return dedup.exact_deduplicate(_records(spark, d)).select("record_id", "duplicate_of")
 
 
 @query("win2_running_winner", """select o_orderkey, (select p.o_orderkey from orders p where p.o_custkey = o.o_custkey and p.o_orderkey < o.o_orderkey order by p.o_totalprice desc, p.o_orderkey limit 1) as duplicate_of from orders o""")
@@ -37,8 +50,9 @@ def win2(spark, d):
 
 
 _SIM = """
-t as (select doc_id, coalesce(text, '') as text, length(coalesce(text, '')) - 2 as k from documents),
-g as (select doc_id, unnest(case when k > 1 then list_transform(range(1, k + 1, greatest(1, ceil(k / 256.0))::bigint), lambda i: substr(text, i, 3)) when length(text) > 0 then [text] else [] end) as gram from t),
+x as (select doc_id, coalesce(text, '') as raw from documents),
+t as (select doc_id, text, length(text) - 2 as k from (select doc_id, case when length(raw) > 4096 then substr(raw, 1, 2048) || chr(10) || '<simhash-window>' || chr(10) || substr(raw, length(raw) - 2047) else raw end as text from x)),
+g as (select doc_id, unnest(case when k > 0 then list_transform(range(1, k + 1, greatest(1, ceil(k / 256.0))::bigint), lambda i: substr(text, i, 3)) else [text] end) as gram from t),
 hh as (select doc_id, ('0x' || substr(md5(gram), 1, 16))::ubigint as h from g),
 v as (select doc_id, b, 2 * sum(((h >> b) & 1)::bigint) >= count(*) as one from hh, (select unnest(range(0, 64)) as b) group by doc_id, b),
 s as (select doc_id, bit_or(case when one then 1::ubigint << b::ubigint else 0::ubigint end) as sig from v group by doc_id),
@@ -46,7 +60,8 @@ sig as (select t.doc_id, coalesce(sig, 0)::ubigint as simhash from t left join s
 
 
 def _sigs(spark, d):
-    return dedup.simhash(_docs(spark, d).select("doc_id", "text"), "doc_id", F.col("text"))
+    """The document signature with MD5, which SQL has, in place of BLAKE2b."""
+    return dedup.simhash_text(_docs(spark, d).select("doc_id", "text"), "doc_id", F.col("text"), digest="md5")
 
 
 @query("ded4_simhash", f"with {_SIM} select doc_id, printf('%016x', simhash) as simhash from sig")
@@ -94,7 +109,7 @@ def ded13(spark, d):
 _MH = f"""
 b as (select item_id, {norm('text')} as t from benchmark),
 hs as (select item_id, list_transform(list_distinct(case when length(t) - 12 > 1 then list_transform(range(1, length(t) - 11, greatest(1, ceil((length(t) - 12) / 64.0))::bigint), lambda i: substr(t, i, 13)) when length(t) > 0 then [t] else [] end), lambda g: ('0x' || substr(md5(g), 1, 15))::bigint % 2147483647) as hs from b),
-mh as (select item_id, list_transform(range(1, 129), lambda s: list_min(list_transform(hs, lambda h: (h * (s * 7919 + 1) + s * 104729) % 2147483647))) as mh from hs)"""
+mh as (select item_id, list_transform({[list(x) for x in H.permutations(128)]}, lambda s: list_min(list_transform(hs, lambda h: (h * s[1] + s[2]) % 2147483647))) as mh from hs)"""
 
 
 @query("ded9_minhash", f"with {_MH} select item_id, sha256(array_to_string(mh, ',')) as signature from mh")

@@ -79,6 +79,17 @@ def smp2(spark, d):
     return x.select("doc_id", F.sha2(F.concat_ws(":", F.lit("3407"), identity), 256).alias("score"))
 
 
+@query("ded5_simhash", f"""with t as (select item_id, {norm('text')} as text, length({norm('text')}) - 2 as k from benchmark),
+g as (select item_id, unnest(list_distinct(case when k > 0 then list_transform(range(1, k + 1, greatest(1, ceil(k / 256.0))::bigint), lambda i: substr(text, i, 3)) when length(text) > 0 then [text] else [] end)) as gram from t),
+v as (select item_id, b, 2 * sum(((('0x' || substr(md5(gram), 1, 16))::ubigint >> b) & 1)::bigint) >= count(*) as one from g, (select unnest(range(0, 64)) as b) group by item_id, b),
+s as (select item_id, bit_or(case when one then 1::ubigint << b::ubigint else 0::ubigint end) as sig from v group by item_id)
+select t.item_id, printf('%016x', coalesce(sig, 0)::ubigint) as simhash from t left join s on t.item_id = s.item_id""")
+def ded5_simhash(spark, d):
+    """The fingerprint's signature with MD5, which SQL has, in place of seeded BLAKE2b."""
+    n = table(spark, d, "benchmark").select("item_id", normalize("text").alias("n"))
+    return n.select("item_id", F.lower(F.lpad(F.hex(C.fingerprint_simhash("n", digest="md5")), 16, "0")).alias("simhash"))
+
+
 @query("ded5_fingerprint_parts", f"select item_id, sha256({norm('text')}) as content_hash, sha256({norm('split_part(text, chr(10), 1)')}) as prompt_hash, length({norm('text')})::bigint as normalized_length from benchmark")
 def ded5(spark, d):
     b = table(spark, d, "benchmark")
