@@ -64,7 +64,7 @@ SLOT_TOKENS, SLOT_LOG2 = 1 << 1, (16, 21)
 #: Class weight rows and tree weights of one block on its way between tasks; tree weights go in half precision, their averaging weights on a scale.
 LINES, SLOTS, SCALE = 1 << 8, 1 << 12, 16
 #: Distinct tokens that a counting task holds before it sends them on.
-FLUSH = 600_000
+FLUSH = 400_000
 END = b""
 #: Odd factors of the feature hashes.
 MIX = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1)]
@@ -544,8 +544,8 @@ def _score(shared):
             for ids, tail, starts in _joined_texts(zip(batch.column("ids").to_pylist(), batch.column("hashes").to_pylist(), strict=True), 4 * STEP):
                 p1, p2 = model.history(ids, tail, starts)
                 own = inner[ids]
-                for at in range(0, len(ids), 4 * STEP):
-                    cut = slice(at, at + 4 * STEP)
+                for at in range(0, len(ids), 2 * STEP):
+                    cut = slice(at, at + 2 * STEP)
                     own[cut] += model.log_probability(ids[cut], p1[cut], p2[cut]) / np.log(10)
                 s += np.add.reduceat(own, starts).tolist()
                 b += np.add.reduceat(base[ids], starts).tolist()
