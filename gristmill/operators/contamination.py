@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from ..functions.hashing import band_keys, grams, hamming, md5_60, minhash, minhash_similarity, windows
 from ..functions.hashing import simhash as simhash_column
 from ..functions.text import given, normalize
+from .selection import bottom_k
 
 # Benchmark names, by generation of the scan, and the thresholds of the near check.
 SIGNALS_1 = ("answercarefully", "mt-bench", "mt bench", "llm-jp instruction", "private holdout", "gsm8k", "humaneval", "mmlu")
@@ -224,6 +225,12 @@ def near_pairs(cand: DataFrame, evals: DataFrame) -> DataFrame:
     return j.select("id", "eval_id", F.bround(F.greatest(mh, sh), 6).alias("similarity"), evidence.alias("evidence"))
 
 
+def top_matches(pairs: DataFrame, most: int = NEAR["matches"], id_col: str = "id", eval_col: str = "eval_id") -> DataFrame:
+    """The `most` matches of highest similarity of each candidate, ties by eval id, with
+    their rank.  Spark keeps that many a candidate before the shuffle."""
+    return bottom_k(pairs, [id_col], [F.desc("similarity"), eval_col], most)
+
+
 def classify(cand: DataFrame, evals: DataFrame, exhaustive: bool = True, near: bool = True) -> DataFrame:
     """Statuses of (id, text, prompt) against evals (id, text, prompt): id, status,
     reasons (array), similarity, matched_eval_ids (sorted).  Empty candidates are
@@ -246,7 +253,7 @@ def classify(cand: DataFrame, evals: DataFrame, exhaustive: bool = True, near: b
     if near:
         open_ = c.join(best.select("id"), "id", "left_anti").where("norm <> ''")
         n = near_pairs(open_.select("id", "norm"), e.select("id", "norm"))
-        top = n.groupBy("id").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("similarity")).alias("neg"), "eval_id", "evidence"))), 1, NEAR["matches"]).alias("t"))
+        top = top_matches(n).groupBy("id").agg(F.sort_array(F.collect_list(F.struct((-F.col("similarity")).alias("neg"), "eval_id", "evidence"))).alias("t"))
         out = out.join(top, "id", "left").withColumns({"similarity": F.coalesce(-F.get("t", F.lit(0))["neg"], F.lit(0.0)), "near_ids": F.transform("t", lambda x: x["eval_id"]), "tags": F.sort_array(F.array_distinct(F.flatten(F.transform("t", lambda x: x["evidence"]))))})
     else:
         out = out.withColumns({"similarity": F.lit(0.0), "near_ids": F.lit(None).cast("array<long>"), "tags": F.lit(None).cast("array<string>")})

@@ -25,6 +25,20 @@ EVAL_SPLITS = ("eval", "test", "validation")
 LIMITS = {"refusal_chars": 240, "stack_chars": 1200, "replacement_ratio": 0.01, "control_ratio": 0.02, "repeat_lines": 4, "repeat_share": 0.65, "private_paths": 2}
 
 
+#: Records with more characters are not tokenized.
+OVERSIZE = 1_000_000
+
+
+def oversize(chars, limit: int = OVERSIZE) -> dict[str, Column]:
+    """Columns of a record's tokenization: over the limit it bypasses the tokenizer and
+    stands as a row of quality 0, ready for nothing, in the last length bins."""
+    big = col(chars) > limit
+    return {
+        "oversize": big, "quality_score": F.when(big, 0.0).cast("double"), "reasoning_sft_ready": F.when(big, False), "tool_sft_ready": F.when(big, False),
+        "length_bin": F.when(big, ">16384"), "assistant_mask_status": F.when(big, "unavailable_oversized_record"),
+    }
+
+
 def reasons(user="user", answer="assistant_final", system=None, reasoning=None, split=None, role=None, error=None, metadata=None, limits=LIMITS) -> Column:
     """array<string> of the reasons that hold, in order, each once.  Arguments are
     columns or names; what is absent counts as empty."""

@@ -85,6 +85,23 @@ def missing_evals(registry: DataFrame, expected: DataFrame, forbidden: DataFrame
     return need.join(registry.where("availability = 'available'").select("id"), "id", "left_anti")
 
 
+def required_eval_missing(entries: DataFrame) -> DataFrame:
+    """One row: whether any required entry (required, availability) is not available."""
+    return entries.agg(F.coalesce(F.bool_or(F.col("required") & (given("availability") != "available")), F.lit(False)).alias("missing"))
+
+
+#: What an evaluation registry may say of an entry; never its content.
+EVAL_METADATA = (
+    "availability", "blocked_reason", "contamination_scan_ready", "content_hash", "fingerprint_path", "id", "license_raw", "local_path",
+    "name", "required", "row_count", "source", "source_revision", "split", "training_forbidden", "version",
+)
+
+
+def eval_metadata(entries: DataFrame) -> DataFrame:
+    """entries with the columns of EVAL_METADATA alone, by name."""
+    return entries.select(*[c for c in EVAL_METADATA if c in entries.columns])
+
+
 def eval_config_issues(evals: DataFrame) -> DataFrame:
     return issues(evals, "id", [("availability_unknown", "error", ~given("availability").isin(*AVAILABILITY)), ("training_allowed", "error", F.col("training_allowed")), ("split_not_test", "error", ~F.lower(given("split")).isin("test", "eval", "validation")), ("required_missing", "blocked", F.col("required") & (given("availability") != "available"))])
 

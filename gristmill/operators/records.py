@@ -147,6 +147,27 @@ def provenance_confidence(revision, license_) -> Column:
     return F.when(~r.isin("", "unknown") & ~x.isin("", "unknown"), "high").when((r != "") | (x != ""), "partial").otherwise("unknown")
 
 
+def record_languages(user="user", answer="assistant_final", reasoning=None, metadata=None) -> dict[str, Column]:
+    """Language of each part and of the whole, and the whole's ratios."""
+    parts = {"user": given(user), "assistant": given(answer), "reasoning": given(reasoning) if reasoning is not None else F.lit("")}
+    out = {f"language_{k}": language(char_stats(c), metadata)["language"] for k, c in parts.items()}
+    out["language_reasoning"] = F.when(parts["reasoning"] == "", "unknown").otherwise(out["language_reasoning"])
+    stats = char_stats(F.concat_ws("\n", *[F.nullif(c, F.lit("")) for c in parts.values()]))
+    whole = language(stats, metadata)
+    total = F.greatest(F.lit(1), stats["total"]).cast("double")
+    ratio = lambda c: F.bround(F.least(F.lit(1.0), c / total), 6)
+    return out | {"language_overall": whole["language"], "japanese_ratio": ratio(stats["hiragana"] + stats["katakana"]), "english_ratio": ratio(stats["latin"]), "code_ratio": whole["code_ratio"]}
+
+
+def contamination_record(df: DataFrame, raw_col: str = "raw", disposition: str = "disposition") -> DataFrame:
+    """record_id, messages, user and assistant_final of rows (dataset_id, source_row_id,
+    raw, disposition) that are to be scanned; all others keep their id and are empty."""
+    scan = F.col(disposition) == "scan"
+    messages = F.when(scan, messages_of(raw_col)).otherwise(F.array().cast(MESSAGES))
+    made = df.withColumn("messages", messages)
+    return made.select(record_id("dataset_id", "source_row_id").alias("record_id"), F.col("dataset_id").alias("source_dataset"), "source_row_id", "messages", said_by("messages", "user").alias("user"), last_of("messages", "assistant").alias("assistant_final"), F.col(disposition).alias("contamination_scan_disposition"))
+
+
 def from_turns(turns: DataFrame, conv="conv_id", turn="turn", role="role", text="text") -> DataFrame:
     """One record a conversation: messages in turn order.  A conversation's turns
     meet in one row, as the record needs them."""

@@ -52,6 +52,39 @@ def sample_key(seed: int, *parts) -> Column:
     return F.sha2(F.concat_ws(":", F.lit(str(seed)), *[F.coalesce((F.col(p) if isinstance(p, str) else p).cast("string"), F.lit("None")) for p in parts]), 256)
 
 
+def stable_score(seed: int, record_id, source_row_id=None, content_hash=None) -> Column:
+    """Hex SHA-256 of seed:identity, identity being the first of the three that is not empty."""
+    some = [F.nullif((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in (record_id, source_row_id, content_hash) if c is not None]
+    return F.sha2(F.concat_ws(":", F.lit(str(seed)), F.coalesce(*some, F.lit(""))), 256)
+
+
+def ready(source, rules: dict[str, Column]) -> Column:
+    """Whether a record meets its own source's condition; sources without one always do."""
+    out = F.lit(True)
+    for name, test in rules.items():
+        out = F.when((F.col(source) if isinstance(source, str) else source) == name, F.coalesce(test, F.lit(False))).otherwise(out)
+    return out
+
+
+def mass_plan(candidates: DataFrame, stats: DataFrame) -> DataFrame:
+    """Target mass of each candidate (bucket, dataset_id, mass of the bucket): its share
+    of the tokens (dataset_id, tokens) that its bucket has; candidates without tokens are left out."""
+    j = candidates.join(stats, "dataset_id").where("tokens > 0")
+    total = F.sum("tokens").over(W.partitionBy("bucket"))
+    return j.select("bucket", "dataset_id", F.col("tokens").alias("available_tokens"), F.round(F.col("mass") * F.col("tokens") / total, 8).alias("target_mass"))
+
+
+#: Buckets of the two sides that a balanced candidate needs.
+SIDES = {"japanese": ("general_japanese", "instruction_extraction", "japanese_math_reasoning", "japanese_stem_code"), "frontier": ("frontier_reasoning", "agent_code_retention")}
+
+
+def pool_mass(pools: DataFrame, target: int, bucket: str = "bucket", tokens: str = "tokens") -> DataFrame:
+    """One row: token mass of each side, half the target, and whether both sides reach it."""
+    side = lambda s: F.coalesce(F.sum(F.when(F.col(bucket).isin(*SIDES[s]), F.col(tokens))), F.lit(0)).alias(f"{s}_pool_tokens")
+    half = target // 2
+    return pools.agg(*[side(s) for s in SIDES]).select("*", F.lit(half).cast("long").alias("target_each_side"), F.least(*[F.col(f"{s}_pool_tokens") for s in SIDES]).__ge__(half).alias("balanced"))
+
+
 def token_prefix(df: DataFrame, key: str, tokens: str, target: int, partition: list[str], digits: int = 3) -> DataFrame:
     """Rows in key order up to and with the one that reaches the target, a stratum at a time.
 

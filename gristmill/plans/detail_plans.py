@@ -58,25 +58,37 @@ def prj19(spark, d):
     return j.select("doc_id", selection.bucket(category).alias("bucket"), selection.char_bin("n").alias("char_bin"), F.coalesce("quality", F.lit(-1)).alias("policy_quality"))
 
 
-@query("flt21_readiness", "select o_orderkey from orders where o_orderstatus <> 'P' and (o_orderpriority <> '1-URGENT' or o_totalprice > 100000) and o_totalprice <= 300000")
+@query("flt21_readiness", "select doc_id from documents where not (coalesce(source, '') = 'src1' and doc_id % 3 <> 0) and not (coalesce(source, '') = 'src2' and (doc_id % 5 = 0 or length(text) > 1000))")
 def flt21(spark, d):
-    """A source's own conditions beside the common ones."""
-    urgent = F.col("o_orderpriority") == "1-URGENT"
-    ready = F.when(urgent, F.col("o_totalprice") > 100000).otherwise(True)
-    return table(spark, d, "orders").where((F.col("o_orderstatus") != "P") & ready & (F.col("o_totalprice") <= 300000)).select("o_orderkey")
+    """One source must be ready for reasoning; another must have passed its integrity stage and be short."""
+    i = F.col("doc_id")
+    rules = {"src1": i % 3 == 0, "src2": (i % 5 != 0) & (F.coalesce(F.length("text"), F.lit(0)) <= 1000)}
+    return table(spark, d, "documents").where(selection.ready(F.coalesce("source", F.lit("")), rules)).select("doc_id")
 
 
-@query("top5_near_topk", "with r as (select c_nationkey, c_custkey, round(abs(c_acctbal) / 10000, 6) as similarity, row_number() over (partition by c_nationkey order by round(abs(c_acctbal) / 10000, 6) desc, c_custkey) as rank from customer) select c_nationkey, c_custkey, similarity, rank from r where rank <= 16")
+_SHARED = f"""with e as (select item_id as id, {norm('text')} as t from benchmark), c as (select doc_id as id, {norm('text')} as t from documents),
+eg as (select id, unnest(list_distinct(list_transform(range(1, greatest(length(t) - 22, 1)), lambda i: substr(t, i, 24)))) as g from e), cg as (select id, unnest(list_distinct(list_transform(range(1, greatest(length(t) - 22, 1)), lambda i: substr(t, i, 24)))) as g from c),
+sh as (select c.id as doc_id, e.id as item_id, count(*) as shared from cg c join eg e on c.g = e.g group by 1, 2)"""
+
+
+def _shared(spark, d):
+    """Pairs of documents and eval texts by the distinct 24-grams they share."""
+    prep = lambda t, key: table(spark, d, t).select(F.col(key).alias("id"), normalize("text").alias("norm"))
+    e = prep("benchmark", "item_id").where(F.length("norm") >= 24).select(F.col("id").alias("item_id"), F.explode(H.grams("norm", 24)).alias("k"))
+    hits = C.probe(prep("documents", "doc_id"), e, 24)
+    return hits.join(C.small(e, 200_000), "k").groupBy(F.col("id").alias("doc_id"), "item_id").agg(F.count(F.lit(1)).alias("shared"))
+
+
+@query("top5_near_topk", _SHARED + ", r as (select doc_id, item_id, round(shared / 1000.0::double, 6) as similarity, row_number() over (partition by doc_id order by shared desc, item_id) as rank from sh) select * from r where rank <= 16")
 def top5(spark, d):
-    c = table(spark, d, "customer").select("c_nationkey", "c_custkey", F.round(F.abs("c_acctbal") / 10000, 6).alias("similarity"))
-    return selection.bottom_k(c, ["c_nationkey"], [F.desc("similarity"), "c_custkey"], 16)
+    return C.top_matches(_shared(spark, d).select("doc_id", "item_id", F.round(F.col("shared") / 1000, 6).alias("similarity")), 16, "doc_id", "item_id")
 
 
-@query("smp2_stable_score", "select doc_id, sha256('3407:' || coalesce(nullif(case when doc_id % 2 = 0 then source || doc_id::varchar end, ''), doc_id::varchar)) as score from documents")
+@query("smp2_stable_score", "select doc_id, sha256('3407:' || coalesce(case when doc_id % 3 = 0 then 'r' || doc_id::varchar end, nullif(case when doc_id % 3 = 1 then 's' || doc_id::varchar else '' end, ''), sha256(coalesce(text, '')))) as score from documents")
 def smp2(spark, d):
-    x = table(spark, d, "documents")
-    identity = F.coalesce(F.when(F.col("doc_id") % 2 == 0, F.concat("source", F.col("doc_id").cast("string"))), F.col("doc_id").cast("string"))
-    return x.select("doc_id", F.sha2(F.concat_ws(":", F.lit("3407"), identity), 256).alias("score"))
+    i = F.col("doc_id")
+    made = lambda k, p: F.when(i % 3 == k, F.concat(F.lit(p), i.cast("string")))
+    return table(spark, d, "documents").select("doc_id", selection.stable_score(3407, made(0, "r"), F.coalesce(made(1, "s"), F.lit("")), F.sha2(F.coalesce("text", F.lit("")), 256)).alias("score"))
 
 
 @query("ded5_simhash", f"""with t as (select item_id, {norm('text')} as text, length({norm('text')}) - 2 as k from benchmark),
@@ -97,13 +109,10 @@ def ded5(spark, d):
     return n.select("item_id", F.sha2("n", 256).alias("content_hash"), F.sha2("p", 256).alias("prompt_hash"), F.length("n").cast("long").alias("normalized_length"))
 
 
-@query("con3_candidates", f"""with e as (select item_id as id, {norm('text')} as t from benchmark), c as (select doc_id as id, {norm('text')} as t from documents),
-eg as (select id, unnest(list_distinct(list_transform(range(1, greatest(length(t) - 22, 1)), lambda i: substr(t, i, 24)))) as g from e), cg as (select id, unnest(list_distinct(list_transform(range(1, greatest(length(t) - 22, 1)), lambda i: substr(t, i, 24)))) as g from c)
-select c.id as doc_id, e.id as item_id, count(*) as shared from cg c join eg e on c.g = e.g group by 1, 2""")
+@query("con3_candidates", _SHARED + " select * from sh")
 def con3(spark, d):
     """Candidate pairs by shared 24-grams, and how many they share."""
-    g = lambda t, key: table(spark, d, t).select(F.col(key), normalize("text").alias("n")).where(F.length("n") >= 24).select(key, F.explode(H.grams("n", 24)).alias("g"))
-    return g("documents", "doc_id").join(C.small(g("benchmark", "item_id"), 200_000), "g").groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("shared"))
+    return _shared(spark, d)
 
 
 @query("scl17_slug", "select n_nationkey, replace(lower(n_name), ' ', '-') as slug from nation")

@@ -221,6 +221,17 @@ def agg17(spark, d):
     return e.groupBy("error").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("agg17_supervised_ratio", f"""with {_TRAIN}, s as (select a.conv_id, coalesce(list_sum(list_transform(mine, lambda x: greatest(1, len(list_filter(regexp_split_to_array(x, '\\s+'), lambda w: w <> ''))))), 0)::double / a.tokens as ratio, len(errors) as e from a join tr on a.conv_id = tr.conv_id)
+select count(*) as records, count(*) filter (where e = 0) as valid, round(avg(ratio), 6) as mean_supervised_ratio from s""")
+def agg17_ratio(spark, d):
+    """Valid records, and the mean share of assistant tokens."""
+    words = lambda c: F.greatest(F.lit(1), F.size(F.filter(F.split(c, r"\s+"), lambda w: w != "")))
+    mine = F.aggregate(F.filter("messages", lambda m: m["role"] == "assistant"), F.lit(0).cast("long"), lambda acc, m: acc + words(m["content"]))
+    c = _conv(spark, d).withColumns({"tokens": _tokens(), "mine": mine})
+    e = c.select((F.col("mine") / F.col("tokens")).alias("ratio"), F.size(validate.training_errors("messages", "assistant_final", "system", "tokens")).alias("e"))
+    return e.agg(F.count(F.lit(1)).alias("records"), F.count_if(F.col("e") == 0).alias("valid"), F.round(F.avg("ratio"), 6).alias("mean_supervised_ratio"))
+
+
 @query("val3_segments")
 def val3(spark, d):
     return validate.segments(_conv(spark, d), "conv_id", 256)
@@ -237,9 +248,18 @@ def win6(spark, d):
     return table(spark, d, "conversations").select("conv_id", "turn", "role", F.lag("role").over(W.partitionBy("conv_id").orderBy("turn")).alias("prev_role"))
 
 
-@query("scl4_record_languages", None)
-def scl4(spark, d):
-    from ..functions.text import char_stats, language
+def _label(x: str) -> str:
+    """The language label of an SQL expression, by the same counts as SCL3 without metadata."""
+    c = f"regexp_replace({x}, '\\s+', '', 'g')"
+    n = lambda p: f"len(regexp_extract_all({c}, '{p}')) / greatest(1, length({c}))::double"
+    j, k, e = n("[぀-ゟ゠-ヿㇰ-ㇿ]"), n("[㐀-䶿一-鿿]"), n("[A-Za-z]")
+    code = f"least(1.0, len(regexp_extract_all({x}, '(?i)```|</?[A-Za-z][^>]*>|\\b(def|class|import|function|const|SELECT|FROM)\\b|[{{}};]')) / greatest(1.0, greatest(1, length({c}))::double / 80))"
+    return f"case when {j} >= 0.08 or ({j} >= 0.03 and {k} >= 0.15) then case when {e} >= 0.15 then 'mixed' else 'japanese' end when {code} >= 0.45 and {e} >= 0.10 then 'code-heavy' when {e} >= 0.35 then 'english' else 'unknown' end"
 
-    c = _conv(spark, d)
-    return c.select("conv_id", language(char_stats("user"))["language"].alias("language_user"), language(char_stats("assistant_final"))["language"].alias("language_assistant"), given("system").alias("system"))
+
+@query("scl4_record_languages", f"""with {_CONV}, p as (select conv_id, {_SAID.format('user')} as u, {_LAST} as a from cv), w as (select *, concat_ws(chr(10), nullif(u, ''), nullif(a, '')) as w from p)
+select conv_id, {_label('u')} as language_user, {_label('a')} as language_assistant, 'unknown' as language_reasoning, {_label('w')} as language_overall,
+ round_even(len(regexp_extract_all(w, '[A-Za-z]')) / greatest(1, length(regexp_replace(w, '\\s+', '', 'g')))::double, 6) as english_ratio from w""")
+def scl4(spark, d):
+    made = records.record_languages()
+    return _conv(spark, d).select("conv_id", *[made[c].alias(c) for c in ("language_user", "language_assistant", "language_reasoning", "language_overall", "english_ratio")])
\ No newline at end of file

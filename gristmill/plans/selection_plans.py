@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..operators import audits, selection
+from ..operators import audits, filters, selection
 from . import query, table
 
 
@@ -73,17 +73,22 @@ def jn12(spark, d):
     return table(spark, d, "nation").select("n_nationkey").distinct().join(bad, "n_nationkey", "left_anti")
 
 
-@query("jn13_stage_summary", "select n_nationkey, coalesce(c.n, 0) as customers, coalesce(s.n, 0) as suppliers from nation left join (select c_nationkey, count(*) as n from customer group by 1) c on c_nationkey = n_nationkey left join (select s_nationkey, count(*) as n from supplier group by 1) s on s_nationkey = n_nationkey")
+@query("jn13_stage_summary", f"""with {TOK}, a as (select source, count(*) as rows_scanned, count(*) filter (where eligible) as valid_rows from tok where lang <> 'fr' group by source),
+s as (select source, count(*) as status_rows, count(*) filter (where doc_id % 9 = 0) as flagged_rows from tok where eligible and doc_id % 2 = 0 group by source)
+select t.source, coalesce(rows_scanned, 0) as rows_scanned, coalesce(valid_rows, 0) as valid_rows, coalesce(status_rows, 0) as status_rows, coalesce(flagged_rows, 0) as flagged_rows from (select distinct source from tok) t left join a on t.source = a.source left join s on t.source = s.source""")
 def jn13(spark, d):
-    count = lambda t, k, n: table(spark, d, t).groupBy(F.col(k).alias("n_nationkey")).agg(F.count(F.lit(1)).alias(n))
-    out = table(spark, d, "nation").select("n_nationkey").join(count("customer", "c_nationkey", "customers"), "n_nationkey", "left").join(count("supplier", "s_nationkey", "suppliers"), "n_nationkey", "left")
-    return out.fillna(0, ["customers", "suppliers"])
+    t = _tokens(spark, d)
+    audit = t.where("lang <> 'fr'").groupBy("source").agg(F.count(F.lit(1)).alias("rows_scanned"), F.count_if("eligible").alias("valid_rows"))
+    statuses = t.where("eligible and doc_id % 2 = 0").select("source", F.when(F.col("doc_id") % 9 == 0, "quarantine").otherwise("clear").alias("status"))
+    return audits.stage_summary(t, audit, statuses)
 
 
 # aggregates
-@query("agg1_audit_summary", f"with {TOK} select source, count(*) as rows_scanned, count(*) filter (where eligible) as valid, count(*) filter (where not eligible) as rejected, sum(case when eligible then tokens else 0 end)::bigint as eligible_tokens from tok group by source")
+@query("agg1_audit_summary", f"""with {TOK} select source, count(*) as rows_scanned, count(*) filter (where eligible) as valid_rows, count(*) filter (where not eligible) as rejected_rows, sum(case when eligible then tokens else 0 end)::bigint as eligible_token_count,
+ count(*) filter (where doc_id % 6 = 1) as excluded_eval_rows, count(*) filter (where tokens > 300) as reasoning_ready_rows, count(*) filter (where tokens > 900 and lang = 'en') as tool_ready_rows from tok group by source""")
 def agg1(spark, d):
-    return _tokens(spark, d).groupBy("source").agg(F.count(F.lit(1)).alias("rows_scanned"), F.count_if("eligible").alias("valid"), F.count_if(~F.col("eligible")).alias("rejected"), F.sum(F.when(F.col("eligible"), F.col("tokens")).otherwise(0)).alias("eligible_tokens"))
+    t = _tokens(spark, d).withColumns({"split": F.when(F.col("doc_id") % 6 == 1, "test").otherwise("train"), "reasoning_ready": F.col("tokens") > 300, "tool_ready": (F.col("tokens") > 900) & (F.col("lang") == "en")})
+    return audits.audit_summary(t)
 
 
 @query("agg2_value_counts", "select 'lang' as field, coalesce(lang, 'unknown') as value, count(*) as n from documents group by 2 union all select 'source', coalesce(source, 'unknown'), count(*) from documents group by 2")
@@ -96,10 +101,12 @@ def agg4(spark, d):
     return audits.profile(table(spark, d, "documents").select("lang", F.length("text").alias("n")), ["lang"], "n")
 
 
-@query("agg6_token_stats", f"""with {TOK} select source, lang, count(*) as rows, sum(tokens)::bigint as tokens, max(tokens) as max_tokens, round(avg(tokens), 6) as mean_tokens, quantile_cont(tokens::double, 0.5) as p50, quantile_cont(tokens::double, 0.99) as p99,
+@query("agg6_token_stats", f"""with {TOK} select source, lang, count(*) as rows, sum(tokens)::bigint as tokens, sum(tokens // 3)::bigint as supervised, max(tokens) as max_tokens, round(avg(tokens), 6) as mean_tokens, """
+ + ", ".join(f"quantile_cont(tokens::double, {q}) as p{round(q * 100)}" for q in (0.5, 0.75, 0.9, 0.95, 0.99)) + """,
  count(*) filter (where tokens <= 1024) as le_1024, count(*) filter (where tokens > 1024 and tokens <= 4096) as le_4096, count(*) filter (where tokens > 4096 and tokens <= 8192) as le_8192, count(*) filter (where tokens > 8192 and tokens <= 32768) as le_32768, count(*) filter (where tokens > 32768) as gt_32768 from tok group by source, lang""")
 def agg6(spark, d):
-    return audits.token_stats(_tokens(spark, d), ["source", "lang"], "tokens", (0.5, 0.99))
+    t = _tokens(spark, d).withColumn("supervised", F.floor(F.col("tokens") / 3).cast("long"))
+    return audits.token_stats(t, ["source", "lang"], "tokens", also=("supervised",))
 
 
 @query("agg7_threshold_sweep", f"""with {TOK}, th as (select unnest([95, 90, 85, 80, 75]) as threshold),
@@ -136,15 +143,26 @@ def agg13(spark, d):
     return audits.shares(_tokens(spark, d).where("eligible"), ["source"], "tokens")
 
 
-@query("agg14_mass_plan", "with s as (select l_returnflag, l_linestatus, sum(l_quantity) as tokens from lineitem where l_quantity > 0 group by 1, 2) select l_returnflag, l_linestatus, round(1000000.0::double * tokens / sum(tokens) over (partition by l_returnflag), 8) as planned_mass from s")
+@query("agg14_mass_plan", "with s as (select l_returnflag, l_linestatus, sum(l_quantity)::double as tokens from lineitem group by 1, 2) select l_returnflag as bucket, l_linestatus as dataset_id, tokens as available_tokens, round(1000000.0::double * tokens / sum(tokens) over (partition by l_returnflag), 8) as target_mass from s where tokens > 0")
 def agg14(spark, d):
-    s = table(spark, d, "lineitem").where("l_quantity > 0").groupBy("l_returnflag", "l_linestatus").agg(F.sum("l_quantity").alias("tokens"))
-    return s.select("l_returnflag", "l_linestatus", F.round(1000000.0 * F.col("tokens") / F.sum("tokens").over(W.partitionBy("l_returnflag")), 8).alias("planned_mass"))
+    """Sources are (flag, status) pairs, one a bucket of its flag."""
+    s = table(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("bucket"), "l_linestatus").agg(F.sum("l_quantity").cast("double").alias("tokens"))
+    s = s.withColumn("dataset_id", F.concat_ws("/", "bucket", "l_linestatus"))
+    plan = selection.mass_plan(s.select("bucket", "dataset_id", F.lit(1_000_000.0).alias("mass")), s.select("dataset_id", "tokens"))
+    return plan.withColumn("dataset_id", F.substring_index("dataset_id", "/", -1))
 
 
-@query("agg15_decomposition", "select case when grouping(source) = 0 and grouping(lang) = 0 then 'source_x_lang' when grouping(source) = 0 then 'source' when grouping(lang) = 0 then 'lang' else 'total' end as level, source, lang, count(*) as n from documents group by grouping sets ((source, lang), (source), (lang), ())")
+_HITS = """
+h as (select coalesce(source, '') as source, coalesce(source, '') || '/part-' || (doc_id % 3)::varchar || '/' || (doc_id % 2)::varchar || '.jsonl' as file, coalesce(source, '') || '/part-' || (doc_id % 3)::varchar as family, (doc_id % 4)::varchar as eval, substr(sha256(coalesce(text, '')), 1, 2) as cluster from documents)"""
+
+
+@query("agg15_decomposition", f"with {_HITS} " + " union all ".join(f"select '{axis}' as axis, {key} as key, count(*) as n from h{group}" for axis, key, group in (
+    *((c, c, f" group by {c}") for c in ("source", "family", "file", "eval", "cluster")), ("source_x_eval", "source || '|' || eval", " group by source, eval"), ("total", "''", ""))))
 def agg15(spark, d):
-    return audits.decomposition(table(spark, d, "documents"), ["source", "lang"])
+    i, source = F.col("doc_id"), F.coalesce("source", F.lit(""))
+    row_id = F.concat(source, F.lit("/part-"), (i % 3).cast("string"), F.lit("/"), (i % 2).cast("string"), F.lit(".jsonl#"), i.cast("string"))
+    hits = table(spark, d, "documents").select(source.alias("source"), row_id.alias("source_row_id"), (i % 4).cast("string").alias("eval"), F.substring(F.sha2(F.coalesce("text", F.lit("")), 256), 1, 2).alias("cluster"))
+    return audits.hit_decomposition(hits)
 
 
 @query("agg16_waterfall", "with s as (select l_orderkey, case when count(distinct l_linestatus) > 1 then 'P' else min(l_linestatus) end as derived from lineitem group by 1) select o_orderstatus as old_status, coalesce(derived, 'missing') as new_status, count(*) as n from orders left join s on o_orderkey = l_orderkey group by 1, 2")
@@ -160,11 +178,14 @@ def agg18(spark, d):
     return table(spark, d, "documents").groupBy(F.col("lang").alias("format")).agg(F.count(F.lit(1)).alias("rows"), F.sum(F.length("text").cast("long")).alias("chars"), F.array_join(F.sort_array(F.collect_set("source")), ",").alias("configs"))
 
 
-@query("agg19_pool_mass", f"with {TOK} select sum(case when lang = 'en' then tokens else 0 end)::bigint as side_a, sum(case when lang <> 'en' then tokens else 0 end)::bigint as side_b, sum(case when lang = 'en' then tokens else 0 end) >= 50000 as a_reaches_half from tok")
+_POOL = "case lang when 'en' then 'frontier_reasoning' when 'de' then 'general_japanese' when 'fr' then 'agent_code_retention' when 'es' then 'japanese_stem_code' else 'other' end"
+
+
+@query("agg19_pool_mass", f"""with {TOK}, p as (select tokens, {_POOL} as bucket from tok),
+s as (select coalesce(sum(case when bucket in ('general_japanese', 'japanese_stem_code') then tokens end), 0)::bigint as japanese_pool_tokens, coalesce(sum(case when bucket in ('frontier_reasoning', 'agent_code_retention') then tokens end), 0)::bigint as frontier_pool_tokens from p)
+select *, 50000::bigint as target_each_side, least(japanese_pool_tokens, frontier_pool_tokens) >= 50000 as balanced from s""")
 def agg19(spark, d):
-    side = lambda t: F.sum(F.when(t, F.col("tokens")).otherwise(0))
-    a = side(F.col("lang") == "en")
-    return _tokens(spark, d).agg(a.alias("side_a"), side(F.col("lang") != "en").alias("side_b"), (a >= 50000).alias("a_reaches_half"))
+    return selection.pool_mass(_tokens(spark, d).withColumn("bucket", F.expr(_POOL)), 100_000)
 
 
 @query("agg20_fill_status", f"with {TOK}, s as (select source, sum(tokens) as selected, 40000 as target from tok where eligible group by source) select source, round(selected / target::double, 6) as fill, selected < 0.9 * target as severe_underfill, case when selected >= 0.95 * target then 'PASS' else 'PARTIAL' end as status from s")
@@ -173,10 +194,14 @@ def agg20(spark, d):
     return audits.fill_status(s, "selected", 40000).select("source", "fill", "severe_underfill", "status")
 
 
-@query("agg24_reconciliation", "select (select count(*) from orders) as raw_rows, (select count(distinct o_custkey) from orders) as canonical_rows, (select count(*) from orders) - (select count(distinct o_custkey) from orders) as grouped_away")
+@query("agg24_reconciliation", f"""with {TOK}, c as (select count(*) as raw_rows, (select count(distinct coalesce(text, '')) from documents) as canonical_rows, (select count(distinct coalesce(text, '')) from documents where length(text) > 20) as formatted_rows, (select coalesce(sum(tokens), 0)::bigint from tok where eligible) as selected_tokens from documents),
+f as (select *, raw_rows - canonical_rows as grouped_away, round(selected_tokens / 1000000.0::double, 6) as fill from c)
+select *, array_to_string(list_filter([case when canonical_rows > raw_rows then 'more_canonical_than_raw_rows' end, case when formatted_rows < canonical_rows then 'rows_not_formatted' end, case when fill < 0.95 then 'underfilled' end], lambda x: x is not null), ',') as blockers from f""")
 def agg24(spark, d):
-    o = table(spark, d, "orders").agg(F.count(F.lit(1)).alias("raw_rows"), F.count_distinct("o_custkey").alias("canonical_rows"))
-    return o.withColumn("grouped_away", F.col("raw_rows") - F.col("canonical_rows"))
+    """Documents are the raw rows, distinct texts the canonical ones, and texts of over 20 characters the formatted ones."""
+    docs = table(spark, d, "documents").select(F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.distinct()
+    return audits.reconciliation(docs, texts, texts.where(F.length("text") > 20), _tokens(spark, d).where("eligible"), 1_000_000)
 
 
 @query("agg25_length_profile", "select quantile_cont(n, 0.5) as median_chars, quantile_cont(n, 0.95) as p95_chars from (select length(text)::double as n from documents order by doc_id limit 10000)")
@@ -311,10 +336,10 @@ def flt20(spark, d):
     return _tokens(spark, d).where("eligible and quality >= 85").select("doc_id").join(table(spark, d, "labels").where("toxic = 1"), "doc_id", "left_anti")
 
 
-@query("flt24_oversize", "select page_id, case when length(html) > 3000 then 0.0 else 1.0 end::double as quality, length(html) > 3000 as oversize from pages")
+@query("flt24_oversize", "select page_id, length(html) > 3000 as oversize, case when length(html) > 3000 then 0.0 end::double as quality_score, case when length(html) > 3000 then '>16384' end as length_bin, case when length(html) > 3000 then 'unavailable_oversized_record' end as assistant_mask_status from pages")
 def flt24(spark, d):
-    big = F.length("html") > 3000
-    return table(spark, d, "pages").select("page_id", F.when(big, 0.0).otherwise(1.0).alias("quality"), big.alias("oversize"))
+    made = filters.oversize(F.length("html"), 3000)
+    return table(spark, d, "pages").select("page_id", *[made[c].alias(c) for c in ("oversize", "quality_score", "length_bin", "assistant_mask_status")])
 
 
 @query("flt27_license", "select s_suppkey, s_nationkey % 3 = 0 as flagged from supplier")
@@ -326,9 +351,12 @@ def flt27(spark, d):
     return table(spark, d, "supplier").select("s_suppkey", (mixed | unknown).alias("flagged"))
 
 
-@query("flt28_required_eval_missing", "select bool_or(item_id % 4 = 3 and length(text) < 50) as missing from benchmark")
+@query("flt28_required_eval_missing", "select coalesce(bool_or(item_id % 4 = 3 and length(text) < 50), false) as missing from benchmark")
 def flt28(spark, d):
-    return table(spark, d, "benchmark").agg(F.bool_or((F.col("item_id") % 4 == 3) & (F.length("text") < 50)).alias("missing"))
+    from ..operators import governance
+
+    entries = table(spark, d, "benchmark").select((F.col("item_id") % 4 == 3).alias("required"), F.when(F.length("text") >= 50, "available").otherwise("gated").alias("availability"))
+    return governance.required_eval_missing(entries)
 
 
 # sets

@@ -82,6 +82,26 @@ def flt(spark, d):
     return _filtered(spark, d).select("record_id", (F.size("reasons") == 0).alias("eligible"), F.array_join("reasons", ",").alias("exclusion_reasons"))
 
 
+_MORE = (
+    _FILTER.replace("list_filter([case when u = ''", "list_filter([case when record_no % 17 = 0 then 'broken_json' end, case when u = ''", 1)
+    .replace("case when a = '' then 'empty_assistant' end,", "case when a = '' then 'empty_assistant' end, case when lower(split) in ('eval', 'test', 'validation') then 'eval_split_not_train' end, case when source_role in ('eval_only', 'reference_only', 'future_cpt_candidate') then 'forbidden_source_role' end,", 1)
+    .replace("then 'benchmark_or_eval_signal' end]", "then 'benchmark_or_eval_signal' end, case when source_role = 'eval_only' then 'eval_only_source' end]", 1)
+    .replace("f as (select *,", "f as (select *, source_row_id::bigint as record_no, case source_row_id::bigint % 5 when 0 then 'test' when 1 then 'Validation' when 2 then 'train' end as split, case source_row_id::bigint % 6 when 0 then 'eval_only' when 1 then 'reference_only' when 2 then 'train_candidate' when 3 then '' end as source_role,", 1)
+)
+
+
+@query("flt_source_filter", f"with {_MORE} select record_id, array_to_string(reasons, ',') as exclusion_reasons from fr")
+def flt_source(spark, d):
+    """The hard filter with what is known of the row's source: parse errors, split and role."""
+    rec = records.from_documents(table(spark, d, "documents"))
+    i = F.col("source_row_id").cast("long")
+    made = filters.reasons(
+        metadata=F.col("category"), error=F.when(i % 17 == 0, "bad"), split=F.when(i % 5 == 0, "test").when(i % 5 == 1, "Validation").when(i % 5 == 2, "train"),
+        role=F.when(i % 6 == 0, "eval_only").when(i % 6 == 1, "reference_only").when(i % 6 == 2, "train_candidate").when(i % 6 == 3, ""),
+    )
+    return rec.select("record_id", F.array_join(made, ",").alias("exclusion_reasons"))
+
+
 @query("agg3_reason_counts", f"with {_FILTER} select r as reason, count(*) as n from (select unnest(reasons) as r from fr) group by r")
 def agg3(spark, d):
     return _filtered(spark, d).select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))

@@ -36,7 +36,7 @@ def split_of(path) -> Column:
     """A split token in the file's stem, else its task family, else the stem."""
     _, stem = parent_and_stem(path)
     family = F.nullif(F.regexp_extract(stem, FAMILY, 1), F.lit(""))
-    out = F.coalesce(family, stem)
+    out = F.coalesce(family, F.nullif(stem, F.lit("")), F.lit("unknown"))
     for token in reversed(SPLITS):
         out = F.when(stem.rlike(rf"(?:^|[-_]){token}(?:[-_.]|$)"), token).otherwise(out)
     return out

@@ -31,13 +31,18 @@ def numbered_lines(spark: SparkSession, path: str, root: str | None = None) -> D
     counted by file block, blocks add up to offsets, and a line's number is its
     place in its block plus that offset; no file needs to pass through one task."""
     raw = spark.read.option("recursiveFileLookup", "true").text(path)
-    lines = raw.select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
+    return numbered(raw.select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")), root or path)
+
+
+def numbered(raw: DataFrame, root: str) -> DataFrame:
+    """As numbered_lines, of rows (value, _file, _block) that come straight from a text source."""
+    lines = raw.withColumn("_at", F.monotonically_increasing_id())
     blocks = lines.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     before = F.coalesce(F.sum("_n").over(W.partitionBy("_file").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     blocks = blocks.withColumn("_before", before).select("_file", "_block", "_first", "_before")
     # ids rise by one within a task, and a block is read by one task
     joined = lines.join(F.broadcast(blocks) if blocks.limit(200_001).count() <= 200_000 else blocks, ["_file", "_block"])
-    return joined.select(relative(F.col("_file"), root or path).alias("source_path"), (F.col("_before") + F.col("_at") - F.col("_first")).cast("long").alias("line"), "value")
+    return joined.select(relative(F.col("_file"), root).alias("source_path"), (F.col("_before") + F.col("_at") - F.col("_first")).cast("long").alias("line"), "value")
 
 
 def read_jsonl(spark: SparkSession, path: str, dataset_id: str, root: str | None = None) -> DataFrame:
@@ -53,6 +58,25 @@ def read_jsonl(spark: SparkSession, path: str, dataset_id: str, root: str | None
     )
 
 
+def first_rows(df: DataFrame, most: int | None) -> DataFrame:
+    """The first `most` rows in the order of files and rows (a row limit of a reader); all if None."""
+    return df if most is None else df.orderBy(F.lower("source_path"), "row_index").limit(most)
+
+
+def read_audit(spark: SparkSession, path: str, datasets: list[str] | None = None) -> DataFrame:
+    """Audit rows as written by ``sinks.write_audit``, of some datasets or all; the
+    others' folders are not read."""
+    df = spark.read.json(path)
+    return df.where(F.col("source_dataset").isin(datasets)) if datasets is not None else df
+
+
+def read_tokens(spark: SparkSession, path: str) -> DataFrame:
+    """Token rows, as Parquet or else as JSON lines; a broken line is an error."""
+    if path.endswith((".jsonl", ".jsonl.gz", ".json")):
+        return spark.read.option("mode", "FAILFAST").json(path)
+    return spark.read.parquet(path)
+
+
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Rows of whole JSON documents: arrays, or objects with a known container key."""
     files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)

@@ -79,6 +79,16 @@ def to_html(title: str, df: DataFrame) -> str:
     return f"<!doctype html><meta charset=utf-8><title>{escape(title)}</title><h1>{escape(title)}</h1><table><tr>" + "".join(f"<th>{escape(n)}</th>" for n in names) + f"</tr>{body}</table>"
 
 
+def eval_registry(entries: DataFrame) -> str:
+    """The evaluation registry as JSON: whitelisted metadata alone, by id."""
+    from ..operators.governance import eval_metadata
+
+    kept = eval_metadata(entries)
+    names, rows = report_rows(kept.orderBy("id"))
+    evals = [{k: v for k, v in zip(names, r, strict=True) if v is not None} for r in rows]
+    return json.dumps({"schema_version": 1, "training_forbidden": True, "evaluations": evals}, sort_keys=True, ensure_ascii=False)
+
+
 def manifest(df: DataFrame, source: str, mass: str) -> str:
     """Candidate manifest: mass and share by source, as JSON with sorted keys."""
     from ..operators.audits import shares

@@ -41,9 +41,10 @@ class Stages:
             if s["state"] == "RUNNING":  # its process is gone
                 s["state"] = "PARTIAL"
 
-    def can_skip(self, name: str, inputs: str, config: str) -> bool:
+    def can_skip(self, name: str, inputs: str, config: str, expected: dict | None = None) -> bool:
+        """expected are further details that the finished stage must have recorded."""
         s = self.state.get(name, {})
-        return s.get("state") == "PASS" and s.get("inputs") == inputs and s.get("config") == config
+        return s.get("state") == "PASS" and s.get("inputs") == inputs and s.get("config") == config and all(s.get(k) == v for k, v in (expected or {}).items())
 
     def mark(self, name: str, state: str, **more) -> None:
         if state not in STATES:

@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from gristmill.sources import inference, readers, sinks
+from gristmill.sources import config, inference, readers, sinks
 from gristmill.streaming import ingest, stages
 
 
@@ -21,6 +21,73 @@ def drop(tmp_path):
     return str(tmp_path / "ds")
 
 
+def test_policies_and_recipes(spark, tmp_path, monkeypatch):
+    source = lambda **more: {"id": "a", "repo": "x/a", "local_dir": "a", "category": "math", "role": "train_candidate"} | more
+
+    def load(*sources, version=1):
+        (tmp_path / "p.json").write_text(json.dumps({"schema_version": version, "sources": list(sources)}))
+        return config.load_policies(tmp_path / "p.json")
+
+    assert load(source(), source(id="b", repo="x/b", recommended_max_weight=0.5))[1]["max_weight"] == 0.5
+    for bad, why in (((source(), source()), "unique"), ((source(), source(id="b")), "unique"), ((source(role=" "),), "missing"), ((source(recommended_max_weight=True),), "numeric"), ((source(audit_mode="x"),), "audit_mode"), ((source(stats_sample_rows=-1),), "non-negative"), ((), "non-empty")):
+        with pytest.raises(ValueError, match=why):
+            load(*bad)
+    with pytest.raises(ValueError, match="schema_version"):
+        load(source(), version=2)
+    assert config.policy_table(spark, load(source())).first()["recommended_tier"] == "QUARANTINE"
+    (tmp_path / "i-one.json").write_text(json.dumps({"sampling_mass": {"math": 0.4, "code": 0.6}, "buckets": {"math": {"candidates": ["a", "b"]}}}))
+    (tmp_path / "other.json").write_text("{}")
+    recipes = config.load_recipes(tmp_path)
+    assert list(recipes) == ["i-one"]
+    assert sorted(tuple(r) for r in config.recipe_rows(spark, recipes).collect()) == [("i-one", "math", "a", 0.4), ("i-one", "math", "b", 0.4)]
+    monkeypatch.delenv(config.ROOT_VARIABLE, raising=False)
+    assert config.resolve_root(tmp_path) is None
+    (tmp_path / "data").mkdir()
+    (tmp_path / "env").mkdir()
+    assert config.resolve_root(tmp_path) == tmp_path / "data" and config.resolve_root(tmp_path, str(tmp_path / "no"), str(tmp_path / "env")) == tmp_path / "env"
+    monkeypatch.setenv(config.ROOT_VARIABLE, str(tmp_path / "env"))
+    assert config.resolve_root(tmp_path) == tmp_path / "env"
+
+
+def test_audit_and_token_readers(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "source_dataset string, n long")
+    sinks.write_audit(df, str(tmp_path / "audit"))
+    assert {r["n"] for r in readers.read_audit(spark, str(tmp_path / "audit"), ["b"]).collect()} == {2} and readers.read_audit(spark, str(tmp_path / "audit")).count() == 2
+    (tmp_path / "t.jsonl").write_text('{"n": 1}\n{"n": 2}\n')
+    assert readers.read_tokens(spark, str(tmp_path / "t.jsonl")).count() == 2
+    (tmp_path / "t.jsonl").write_text('{"n": 1}\n{"n": \n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_tokens(spark, str(tmp_path / "t.jsonl")).collect()
+    rows = spark.createDataFrame([("B", 0), ("a", 1), ("a", 0)], "source_path string, row_index long")
+    assert [tuple(r) for r in readers.first_rows(rows, 2).collect()] == [("a", 0), ("a", 1)] and readers.first_rows(rows, None).count() == 3
+
+
+def test_eval_registry_holds_metadata_alone(spark):
+    df = spark.createDataFrame([("e", "secret question", 5, "available")], "id string, content string, row_count long, availability string")
+    got = json.loads(sinks.eval_registry(df))
+    assert got["evaluations"] == [{"id": "e", "row_count": 5, "availability": "available"}] and "secret" not in json.dumps(got)
+
+
+def test_equal_lines_are_rows_of_their_own(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.jsonl").write_text('{"user": "q", "assistant": "a"}\n\n' + '{"user": "q", "assistant": "a"}\n' * 2)
+    args = (str(tmp_path / "in"), "ds", str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert ingest.ingest(spark, *args) == 3
+    assert sorted(r["source_row_id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a.jsonl#1", "a.jsonl#3", "a.jsonl#4"]
+
+
+def test_best_row_of_each_key(spark):
+    df = spark.createDataFrame([(1, "2024-01-01 00:00:00", "k", 5.0), (2, "2024-01-01 01:00:00", "k", 9.0), (3, "2024-01-02 01:00:00", "k", 1.0)], "id long, t string, key string, q double").withColumn("t", F.to_timestamp("t"))
+    got = {(r["winner_id"], r["copies"]) for r in ingest.best_stream(df, "t", "key", F.col("q"), "id").collect()}
+    assert got == {(2, 2), (3, 1)}
+
+
+def test_finished_stage_with_other_details_runs_again(tmp_path):
+    s = stages.Stages(str(tmp_path / "s.json"))
+    s.mark("x", "PASS", inputs="i", config="c", max_rows=5)
+    assert s.can_skip("x", "i", "c", {"max_rows": 5}) and not s.can_skip("x", "i", "c", {"max_rows": 6}) and not s.can_skip("x", "j", "c")
+
+
 def test_jsonl(spark, drop):
     rows = readers.read_jsonl(spark, f"{drop}/v1.2", "ds", drop).collect()
     train = {r["row_index"]: r for r in rows if "train" in r["source_path"]}

@@ -300,3 +300,57 @@ def test_governance(spark):
     assert got == {"manifest_field_unknown", "manifest_hash_mismatch"}
     assert governance.exit_code(["PASS", "BLOCKED"]) == 2 and governance.exit_code(["ERROR", "BLOCKED"]) == 1 and governance.exit_code(["PASS"]) == 0
     assert governance.within_budget(1, 150, 2, 300) and not governance.within_budget(1, 150, 3, 300)
+
+
+# contamination by NFKC form
+def test_probe_finds_every_key(spark):
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("ab 漢😀") for _ in range(rng.randint(0, 60))) for _ in range(80)] + ["", None]
+    keys = {t[i : i + 5] for t in texts[:20] if t for i in range(0, max(1, len(t) - 4), 3)} | {"ab", ""}
+    cand = spark.createDataFrame(list(enumerate(texts)), "id long, norm string")
+    k = spark.createDataFrame([(x,) for x in keys], "k string")
+    want = {(i, t[j : j + 5]) for i, t in enumerate(texts) if t for j in range(max(1, len(t) - 4)) if t[j : j + 5] in keys}
+    for most in (contamination.PROBE_KEYS, 0):
+        got = contamination.probe(cand, k, 5, most).join(k, "k", "left_semi").collect()
+        assert {(r["id"], r["k"]) for r in got} == want and len(got) == len(want)
+    assert contamination.probe(cand, k.where("false"), 5).count() == 0
+
+
+def test_contamination_sees_compatibility_forms(spark):
+    text = "what is the final answer of this benchmark question about finite fields and efficient flows of rivers"
+    wide = "".join(chr(ord(c) + 0xFEE0) if "!" <= c <= "~" else "\u3000" for c in text.upper())
+    ligature = text.replace("fi", "ﬁ").replace("fl", "ﬂ").replace("ffi", "ﬃ")
+    cand = spark.createDataFrame([(1, wide, ""), (2, f"before {ligature} after", ""), (3, "nothing of the kind stands here at all", "")], "id long, text string, prompt string")
+    evals = spark.createDataFrame([(9, text, "")], "id long, text string, prompt string")
+    scan = {r["id"]: (r["status"], r["reasons"]) for r in contamination.scan(cand.select("id", "text"), evals.select("id", "text")).collect()}
+    assert scan[1][0] == scan[2][0] == "quarantine_contamination" and scan[3] == ("clear", [])
+    assert "exact_eval_match" in scan[1][1] and "substring_eval_match" in scan[2][1]
+    status = {r["id"]: (r["status"], r["reasons"]) for r in contamination.classify(cand, evals).collect()}
+    assert status[1] == ("quarantine_exact", ["full_content_sha256"]) and status[2] == ("quarantine_exact", ["long_substring_ge_80"]) and status[3][0] == "clean"
+
+
+def test_empty_eval_content_is_an_error(spark):
+    evals = spark.createDataFrame([(1, "text", "p"), (2, " \u3000 ", "")], "id long, text string, prompt string")
+    for build in (lambda: contamination.fingerprint_index(evals), lambda: contamination.classify(evals, evals)):
+        with pytest.raises(contamination.EmptyContent):
+            build()
+    row = contamination.fingerprint_index(evals.where("id = 1")).first()
+    assert row["prompt_hash"] == hashlib.sha256(b"p").hexdigest() and len(row["minhash"]) == 128 and row["normalized_length"] == 4 and "text" not in row.asDict()
+
+
+def test_hit_axes_reconcile(spark):
+    hits = spark.createDataFrame([("a", "a/x/1.jsonl#3", "e", "c1"), ("a", "a/x/2.jsonl#1", "f", "c1"), ("b", "b/y/1.jsonl#1", "e", "c2")], "source string, source_row_id string, eval string, cluster string")
+    made = audits.hit_decomposition(hits)
+    got = {(r["axis"], r["key"]): r["n"] for r in made.collect()}
+    assert got[("family", "a/x")] == 2 and got[("file", "a/x/1.jsonl")] == 1 and got[("source_x_eval", "a|e")] == 1 and got[("cluster", "c1")] == 2 and got[("total", "")] == 3
+    audits.require_reconciled(made)
+    with pytest.raises(ValueError, match="file"):
+        audits.require_reconciled(made.where("key <> 'a/x/1.jsonl'"))
+
+
+def test_contamination_record_canonicalizes_only_what_is_scanned(spark):
+    raw = json.dumps({"user": "q", "assistant": "a"})
+    df = spark.createDataFrame([("d", "1", raw, "scan"), ("d", "2", raw, "metadata_only")], "dataset_id string, source_row_id string, raw string, disposition string")
+    got = {r["source_row_id"]: r for r in records.contamination_record(df).collect()}
+    assert (got["1"]["user"], got["1"]["assistant_final"]) == ("q", "a") and got["2"]["messages"] == [] and got["2"]["user"] == ""
+    assert got["2"]["record_id"] == hashlib.sha256(b"d:2").hexdigest()

@@ -7,7 +7,7 @@ from gristmill import catalog
 
 QUERIES, ORACLES = catalog.queries(), catalog.oracle_sql()
 #: Greedy, stateful or Python-bound queries, tested by behaviour instead.
-NO_ORACLE = {"val3_segments", "agg11_trace_states", "scl4_record_languages", "ded7_near_dedup", "con5_status", "smp3_stratified"}
+NO_ORACLE = {"val3_segments", "agg11_trace_states", "ded7_near_dedup", "con5_status", "smp3_stratified"}
 
 
 def test_every_query_has_an_oracle_or_a_reason():
