@@ -128,6 +128,18 @@ def test_near_edges_are_lossless_and_greedy_is_sequential(spark):
     assert {i: r["duplicate_of"] for i, r in rows.items()} == verdict
 
 
+def test_near_edges_are_merged_and_come_once(spark):
+    """The keys are twenty times the signatures, so they are never broadcast; all six blocks of a pair may meet."""
+    rng = random.Random(6)
+    base = rng.getrandbits(62)
+    df = spark.createDataFrame([(i, base ^ (1 << i)) for i in range(60)] + [(60, base), (61, base)], "id long, simhash long")
+    edges = dedup.near_edges(df, "id")
+    got = [(r["sig_a"], r["sig_b"]) for r in edges.collect()]
+    plan = edges._jdf.queryExecution().executedPlan().toString()  # as it ran
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert len(got) == len(set(got)) == 61 * 60 // 2
+
+
 def test_running_winner(spark):
     df = spark.createDataFrame([("h", 1, 5.0), ("h", 2, 5.0), ("h", 3, 9.0), ("h", 4, 1.0), ("g", 5, 1.0)], "h string, seq long, q double")
     got = {r["seq"]: r["duplicate_of"] for r in dedup.running_winner(df, "h", [F.col("q")], "seq", "seq").collect()}
