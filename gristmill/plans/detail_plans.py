@@ -73,10 +73,9 @@ sh as (select c.id as doc_id, e.id as item_id, count(*) as shared from cg c join
 
 def _shared(spark, d):
     """Pairs of documents and eval texts by the distinct 24-grams they share."""
-    prep = lambda t, key: table(spark, d, t).select(F.col(key).alias("id"), normalize("text").alias("norm"))
-    e = prep("benchmark", "item_id").where(F.length("norm") >= 24).select(F.col("id").alias("item_id"), F.explode(H.grams("norm", 24)).alias("k"))
-    hits = C.probe(prep("documents", "doc_id"), e, 24)
-    return hits.join(C.small(e, 200_000), "k").groupBy(F.col("id").alias("doc_id"), "item_id").agg(F.count(F.lit(1)).alias("shared"))
+    cand = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    evals = table(spark, d, "benchmark").select(F.col("item_id").alias("id"), normalize("text").alias("norm"))
+    return C.shared_counts(cand, evals, 24).select(F.col("id").alias("doc_id"), F.col("eval_id").alias("item_id"), "shared")
 
 
 @query("top5_near_topk", _SHARED + ", r as (select doc_id, item_id, round(shared / 1000.0::double, 6) as similarity, row_number() over (partition by doc_id order by shared desc, item_id) as rank from sh) select * from r where rank <= 16")

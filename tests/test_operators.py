@@ -366,3 +366,46 @@ def test_contamination_record_canonicalizes_only_what_is_scanned(spark):
     got = {r["source_row_id"]: r for r in records.contamination_record(df).collect()}
     assert (got["1"]["user"], got["1"]["assistant_final"]) == ("q", "a") and got["2"]["messages"] == [] and got["2"]["user"] == ""
     assert got["2"]["record_id"] == hashlib.sha256(b"d:2").hexdigest()
+
+
+def test_near_check_reads_every_position(spark):
+    """The eval text moved by a character shares no gram at an even stride, but all but one of its grams."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    text = " ".join(word() for _ in range(400))
+    cut = " ".join(w if i % 8 else word() for i, w in enumerate(text.split()))  # no window of 80 characters survives
+    other = " ".join(word() for _ in range(400))
+    c = spark.createDataFrame([(1, "q" + text), (2, "q" + cut), (3, other), (4, text[:200])], "id long, norm string")
+    got = {r["id"]: r for r in contamination.near_pairs(c, spark.createDataFrame([(7, text)], "id long, norm string")).collect()}
+    assert set(got) == {1, 2} and got[1]["similarity"] > 0.95 and got[1]["eval_id"] == 7
+    status = con(spark, ["q" + cut, other], [text])
+    assert status[0]["status"] != "clean" and status[1]["status"] == "clean"
+
+
+#: Texts of an odd kind, and eval texts that hold them, stand in them or share a part.
+ODD = [LONG, "x" + LONG.upper() + " y", LONG[5:70], "seven wizards", "box", "b", "", None, "  \n", "ﾊﾝｶｸ " + LONG[:60], LONG[:50] + "zz" + LONG[50:], "Straße " * 9, "the quick brown", LONG[:12], "¨", "mt-bench"]
+ODD_EVALS = [LONG, "strasse " * 9, "b", LONG[:12], LONG[20:], "Nothing of these texts is in this line, whoever may look for it; it is rather long, too."]
+
+
+def test_sweep_equals_the_joins(spark, monkeypatch):
+    c = spark.createDataFrame([(i, t, t and t[:20]) for i, t in enumerate(ODD)], "id long, text string, prompt string")
+    e = spark.createDataFrame([(i, t, t[:20]) for i, t in enumerate(ODD_EVALS)], "id long, text string, prompt string")
+    n = e.select("id", X.normalize("text").alias("norm"))
+    runs = (
+        lambda: contamination.substring_pairs(c.select("id", "text"), n), lambda: contamination.gram_overlap(c.select("id", "text"), n), lambda: contamination.window_matches(c.select("id", "text"), n),
+        lambda: contamination.shared_keys(c.select("id", "text"), n, 13), lambda: contamination.shared_counts(c.select("id", "text"), n, 24),
+        lambda: contamination.scan(c.select("id", "text"), e.select("id", "text")), lambda: contamination.classify(c, e, near=False), lambda: contamination.classify(c, e),
+    )
+    swept = [sorted(map(str, run().collect())) for run in runs]
+    assert all(swept)
+    monkeypatch.setattr(contamination, "SWEEP_CHARS", -1)
+    assert [sorted(map(str, run().collect())) for run in runs] == swept
+
+
+@pytest.mark.parametrize(("name", "most"), [("con7_scan", 2), ("con7_summary", 2), ("agg12_status_counts", 2), ("con5_exact_status", 2), ("con6_gate", 2), ("jn7_substring_pairs", 1), ("jn6_window_probe", 1), ("set5_gram_intersection", 1), ("con3_candidates", 1)])
+def test_contamination_reads_texts_once(spark, sf, name, most):
+    """One pass finds all hits; a second one has the rows that have none."""
+    from gristmill import catalog
+
+    plan = catalog.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") <= most
