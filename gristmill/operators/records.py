@@ -25,6 +25,12 @@ def parse(raw) -> Column:
     return F.when(text.startswith("{") | text.startswith("["), F.try_parse_json(text))
 
 
+def once(x: Column, f) -> Column:
+    """f(x) with x computed once a row: a lambda's argument is a value, where a name would
+    be replaced by its definition at each use."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
 def unwrapped(raw, path: str) -> Column:
     """The value at a key, from the object itself or else from the JSON text in its row_json."""
     v = parse(raw)
@@ -88,7 +94,15 @@ def metadata_json(df: DataFrame, columns: list[str]) -> Column:
 
 def first_text(raw, keys) -> Column:
     """The first key with a non-empty text, at the top or under metadata or meta."""
-    return F.coalesce(*[F.nullif(text_of(unwrapped(raw, k), 1), F.lit("")) for k in keys])
+
+    def of(v):
+        def either(nested):
+            value = lambda k: F.coalesce(F.try_variant_get(v, f"$.{k}", "variant"), F.try_variant_get(nested, f"$.{k}", "variant"))
+            return F.coalesce(*[once(value(k), lambda x: F.nullif(text_of(x, 1), F.lit(""))) for k in keys])
+
+        return once(F.try_parse_json(F.try_variant_get(v, "$.row_json", "string")), either)
+
+    return once(parse(raw), of)
 
 
 def found_value(raw, keys) -> Column:

@@ -409,3 +409,12 @@ def test_contamination_reads_texts_once(spark, sf, name, most):
 
     plan = catalog.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") <= most
+
+
+@pytest.mark.parametrize(("name", "mark", "most"), [("prj6_prompt_answer", "parsejson", 4), ("agg3_reason_counts", "html_navigation_garbage", 1)])
+def test_costly_columns_are_computed_once(spark, sf, name, mark, most):
+    """Two columns of a JSON text parse it, and its row_json, once each; an explode has no filter that evaluates its array."""
+    from gristmill import catalog
+
+    plan = catalog.queries()[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.lower().count(mark) <= most
