@@ -74,7 +74,8 @@ fr as (select record_id, category, list_filter([case when u = '' then 'empty_use
 
 def _filtered(spark, d):
     rec = records.from_documents(table(spark, d, "documents"))
-    return rec.select("record_id", "category", filters.reasons(metadata=F.col("category")).alias("reasons"))
+    # staged, or the filter that Spark derives for an explode would compute the reasons a second time
+    return X.staged(rec.select("record_id", "category", "user", "assistant_final"), reasons=filters.reasons(metadata=F.col("category"))).select("record_id", "category", "reasons")
 
 
 @query("flt_hard_filter", f"with {_FILTER} select record_id, len(reasons) = 0 as eligible, array_to_string(reasons, ',') as exclusion_reasons from fr")
