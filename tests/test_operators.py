@@ -140,6 +140,22 @@ def test_near_edges_are_merged_and_come_once(spark):
     assert len(got) == len(set(got)) == 61 * 60 // 2
 
 
+def test_greedy_near_broadcasts_nothing(spark):
+    """Its tables grow with the input, and a broadcast gathers them on the driver."""
+    rng = random.Random(7)
+    base = [rng.getrandbits(62) for _ in range(20)]
+    df = spark.createDataFrame([(i, base[i % 20] ^ (1 << i % 3)) for i in range(90)], "id long, simhash long")
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    out = dedup.greedy_near(df, "id")
+    rows = out.collect()
+    assert len(rows) == 90 and sum(r["accepted"] for r in rows) == 20
+    plans = [store.executionsList(before, 1000).apply(k).physicalPlanDescription() for k in range(store.executionsCount() - before)]
+    plans.append(out._jdf.queryExecution().executedPlan().toString())  # as it ran
+    assert sum("SortMergeJoin" in p for p in plans) > 3
+    assert not any("BroadcastHashJoin" in p for p in plans)
+
+
 def test_running_winner(spark):
     df = spark.createDataFrame([("h", 1, 5.0), ("h", 2, 5.0), ("h", 3, 9.0), ("h", 4, 1.0), ("g", 5, 1.0)], "h string, seq long, q double")
     got = {r["seq"]: r["duplicate_of"] for r in dedup.running_winner(df, "h", [F.col("q")], "seq", "seq").collect()}
